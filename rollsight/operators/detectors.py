@@ -311,8 +311,8 @@ def score_rows(rows: DataFrame, states: DataFrame, refs: DataFrame, signals, key
     left = rows.join(sizes, ["stand", "block"]).select("stand", "block", deal, *keys, *signals)
     gathered = refs.groupBy("stand", "block").agg(F.collect_list("z").alias("buffer"))
     right = warm.join(gathered, ["stand", "block"]).select(
-        "stand", "block", "pivot", "before", "buffer",
-        F.explode(F.sequence(F.lit(0), deals - 1)).alias("deal"),
+        F.col("stand").alias("of_stand"), F.col("block").alias("of_block"), "pivot", "before", "buffer",
+        F.explode(F.sequence(F.lit(0), deals - 1)).alias("of_deal"),
     )
     settings, count, names = asdict(params), len(signals), list(signals)
 
@@ -335,8 +335,8 @@ def score_rows(rows: DataFrame, states: DataFrame, refs: DataFrame, signals, key
         [f"`{k}` {types[k]}" for k in ["stand", "block", *keys]]
         + ["u_maha double", "u_spc double", "distance double"]
     )
-    parts = ["stand", "block", "deal"]
-    return left.groupBy(*parts).cogroup(right.groupBy(*parts)).applyInPandas(score, schema)
+    states_by_deal = right.groupBy("of_stand", "of_block", "of_deal")
+    return left.groupBy("stand", "block", "deal").cogroup(states_by_deal).applyInPandas(score, schema)
 
 
 def standardised(scored: DataFrame, params=C.DetectorParams()) -> DataFrame:
