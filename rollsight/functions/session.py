@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +33,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialised(df: DataFrame) -> DataFrame:
-    """Store a result once so that several branches read the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Store a result once, as a table in the shared folder, and read it back.
+
+    Several branches then see the same rows, a lost executor costs no recomputation, readers
+    fetch only the columns they need and the planner knows the true size.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark, "stored")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Store a summary table and mark it for broadcast only if its row count allows it."""
-    stored = materialised(df)
+    ensure_checkpoint_dir(df.sparkSession)
+    stored = df.checkpoint()
     return F.broadcast(stored) if stored.count() <= limit else stored
 
 
