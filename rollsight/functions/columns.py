@@ -29,6 +29,14 @@ def finite_or_zero(value: Column) -> Column:
     return F.when(unusable, 0.0).otherwise(value)
 
 
+def usable(name: str) -> str:
+    """`finite_or_zero` of a named column as SQL text, for selections with many columns."""
+    return (
+        f"CASE WHEN `{name}` IS NULL OR isnan(`{name}`) OR abs(`{name}`) = double('Infinity') "
+        f"THEN 0.0D ELSE double(`{name}`) END"
+    )
+
+
 def label_array(*labels: Column) -> Column:
     """The labels in contract order as one boolean array."""
     return F.array(*[c.cast("boolean") for c in labels or [F.col(n) for n in C.LABELS]])

@@ -32,6 +32,9 @@ from ..functions.session import materialised, small_side
 # Rows one Python group scores at a time.
 GROUP_ROWS = 50_000
 
+# Rows whose distance table (rows × 300) stays inside a core's cache.
+SLICE = 512
+
 # Samples after which an old state weighs (1 − 0.002)^100000 ≈ e^-200, below any rounding.
 FADE = 100_000
 
@@ -45,8 +48,13 @@ def with_block(df: DataFrame, every_s: int) -> DataFrame:
     return df.withColumn("block", F.floor(micros / F.lit(every_s * 1_000_000)).cast("long"))
 
 
+def _diagonal(count: int) -> list[int]:
+    """Where the second moment of each signal stands in a moments array."""
+    return [count + k for k, (i, j) in enumerate(_pairs(count)) if i == j]
+
+
 def watched(df: DataFrame, signals, *keep: str) -> DataFrame:
-    return df.select(*keep, *[X.finite_or_zero(F.col(s)).alias(s) for s in signals])
+    return df.selectExpr(*keep, *[f"{X.usable(s)} AS `{s}`" for s in signals])
 
 
 def _pairs(count: int):
@@ -55,9 +63,8 @@ def _pairs(count: int):
 
 def pivots(rows: DataFrame, signals) -> DataFrame:
     """A fixed point per stand near its mean; any value gives the same scores."""
-    return small_side(
-        rows.groupBy("stand").agg(F.array(*[F.avg(s) for s in signals]).alias("pivot"))
-    )
+    averages = ", ".join(f"avg(`{s}`)" for s in signals)
+    return small_side(rows.groupBy("stand").agg(F.expr(f"array({averages}) AS pivot")))
 
 
 def block_stats(rows: DataFrame, signals, pivot: DataFrame | None = None) -> DataFrame:
@@ -67,38 +74,30 @@ def block_stats(rows: DataFrame, signals, pivot: DataFrame | None = None) -> Dat
     others after the combine.
     """
     pivot = pivots(rows, signals) if pivot is None else pivot
-    # Scalar, never-NULL pivots keep the 65 sums free of array reads and null branches.
-    flat = pivot.select(
-        "stand", *[F.coalesce(F.col("pivot")[i], F.lit(0.0)).alias(f"p{i}") for i in range(len(signals))]
-    )
-    joined = rows.join(flat, "stand").select(
-        "stand", "block", *[(F.col(s) - F.col(f"p{i}")).alias(f"x{i}") for i, s in enumerate(signals)]
-    )
+    # Scalar, never-NULL pivots keep the 65 sums free of array reads and null branches; sums
+    # instead of averages halve the buffers, so the aggregation is still compiled.
     count = len(signals)
-    # Sums rather than averages: half the buffers, so the aggregation is still compiled.
-    firsts = [F.sum(f"x{i}") for i in range(count)]
-    seconds = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in _pairs(count)]
-    names = [f"m{i}" for i in range(count + len(seconds))]
+    flat = pivot.selectExpr("stand", *[f"coalesce(pivot[{i}], 0.0D) AS p{i}" for i in range(count)])
+    joined = rows.join(flat, "stand").selectExpr(
+        "stand", "block", *[f"`{s}` - p{i} AS x{i}" for i, s in enumerate(signals)]
+    )
+    terms = [f"x{i}" for i in range(count)] + [f"x{i} * x{j}" for i, j in _pairs(count)]
     sums = joined.groupBy("stand", "block").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[value.alias(name) for name, value in zip(names, firsts + seconds)],
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"sum({t}) AS m{k}") for k, t in enumerate(terms)]
     )
-    moments = F.array(*[F.col(name) / F.col("n") for name in names])
-    return sums.select("stand", "block", "n", moments.alias("moments")).join(pivot, "stand")
+    moments = ", ".join(f"m{k} / n" for k in range(len(terms)))
+    return sums.selectExpr("stand", "block", "n", f"array({moments}) AS moments").join(pivot, "stand")
 
 
 def block_moments(stats: DataFrame, signals) -> DataFrame:
     """Readable form of the statistics: a row per (stand, block, signal)."""
-    index = {pair: len(signals) + k for k, pair in enumerate(_pairs(len(signals)))}
-    rows = [
-        F.struct(
-            F.lit(s).alias("signal"),
-            (F.col("moments")[i] + F.col("pivot")[i]).alias("mean"),
-            (F.col("moments")[index[i, i]] - F.col("moments")[i] * F.col("moments")[i]).alias("variance"),
-        )
+    index = _diagonal(len(signals))
+    rows = ", ".join(
+        f"struct('{s}' AS signal, moments[{i}] + pivot[{i}] AS mean, "
+        f"moments[{index[i]}] - moments[{i}] * moments[{i}] AS variance)"
         for i, s in enumerate(signals)
-    ]
-    return stats.select("stand", "block", "n", F.inline(F.array(*rows)))
+    )
+    return stats.selectExpr("stand", "block", "n", f"inline(array({rows}))")
 
 
 def _remaining(alpha: float, samples):
@@ -190,10 +189,11 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
 def _with_ridge_on_first(stats: DataFrame, signals, params) -> DataFrame:
     """The first block's covariance carries the ridge."""
     count = len(signals)
-    diagonal = [count + k for k, (i, j) in enumerate(_pairs(count)) if i == j]
+    diagonal = _diagonal(count)
+    size = count + len(_pairs(count))
+    ridge = ", ".join(f"{params.ridge if k in diagonal else 0.0!r}D" for k in range(size))
     first = F.min("block").over(W.partitionBy("stand")) == F.col("block")
-    ridge = F.array(*[F.lit(params.ridge if k in diagonal else 0.0) for k in range(count + len(_pairs(count)))])
-    lifted = F.zip_with("moments", ridge, lambda value, extra: value + extra)
+    lifted = F.expr(f"zip_with(moments, array({ridge}), (value, extra) -> value + extra)")
     return stats.withColumn("moments", F.when(first, lifted).otherwise(F.col("moments")))
 
 
@@ -202,24 +202,24 @@ def block_states(stats: DataFrame, signals, params=C.DetectorParams()) -> DataFr
     return ewma_before(_with_ridge_on_first(stats, signals, params), params.alpha)
 
 
-def _mean_and_sd(moments: str, signals, floor: float):
-    """Per signal (mean, standard deviation) out of a state vector."""
-    count = len(signals)
-    index = {pair: count + k for k, pair in enumerate(_pairs(count))}
-    means = [F.col(moments)[i] + F.col("pivot")[i] for i in range(count)]
-    variances = [
-        F.col(moments)[index[i, i]] - F.col(moments)[i] * F.col(moments)[i] for i in range(count)
+def _mean_and_sd(moments: str, signals, floor: float) -> list[tuple[str, str]]:
+    """Per signal (mean, standard deviation) out of a state vector, as SQL text."""
+    return [
+        (
+            f"({moments}[{i}] + pivot[{i}])",
+            f"sqrt(greatest({moments}[{d}] - {moments}[{i}] * {moments}[{i}], {floor!r}D))",
+        )
+        for i, d in enumerate(_diagonal(len(signals)))
     ]
-    return [(m, F.sqrt(F.greatest(v, F.lit(floor)))) for m, v in zip(means, variances)]
 
 
 def ewma_means(states: DataFrame, signals, params=C.DetectorParams()) -> DataFrame:
     """The adaptive mean and deviation after each block, a row per signal."""
-    rows = [
-        F.struct(F.lit(s).alias("signal"), mean.alias("mean"), sd.alias("sd"))
-        for s, (mean, sd) in zip(signals, _mean_and_sd("after", signals, params.variance_floor))
-    ]
-    return states.select("stand", "block", "n_before", F.inline(F.array(*rows)))
+    scale = _mean_and_sd("after", signals, params.variance_floor)
+    rows = ", ".join(
+        f"struct('{s}' AS signal, {mean} AS mean, {sd} AS sd)" for s, (mean, sd) in zip(signals, scale)
+    )
+    return states.selectExpr("stand", "block", "n_before", f"inline(array({rows}))")
 
 
 def tail_rows(rows: DataFrame, states: DataFrame, signals, params=C.DetectorParams()) -> DataFrame:
@@ -232,10 +232,11 @@ def tail_rows(rows: DataFrame, states: DataFrame, signals, params=C.DetectorPara
     tails = rows.withColumn("back", F.row_number().over(newest)).where(F.col("back") <= params.buffer)
     state = states.select("stand", "block", "n", "n_before", "pivot", "after")
     scale = _mean_and_sd("after", signals, params.variance_floor)
-    z = F.array(*[(F.col(s) - mean) / sd for s, (mean, sd) in zip(signals, scale)])
+    z = ", ".join(f"(`{s}` - {mean}) / {sd}" for s, (mean, sd) in zip(signals, scale))
     return tails.join(state, ["stand", "block"]).select(
         "stand", "block", "reading_id", "back",
-        (F.col("n_before") + F.col("n") - F.col("back")).alias("position"), z.alias("z"),
+        (F.col("n_before") + F.col("n") - F.col("back")).alias("position"),
+        F.expr(f"array({z}) AS z"),
     )
 
 
@@ -274,14 +275,14 @@ def nearest_mean(z: np.ndarray, buffer: np.ndarray, neighbours: int) -> np.ndarr
     """Mean distance of each row to its nearest buffer rows, a slice of rows at a time."""
     k = min(neighbours, len(buffer))
     found = np.empty(len(z))
-    for at in range(0, len(z), 4096):
-        part = z[at : at + 4096]
+    for at in range(0, len(z), SLICE):
+        part = z[at : at + SLICE]
         squares = np.zeros((len(part), len(buffer)))
         for column in range(z.shape[1]):
             gap = part[:, column, None] - buffer[None, :, column]
             squares += gap * gap
         nearest = np.partition(squares, k - 1, axis=1)[:, :k]
-        found[at : at + 4096] = np.sqrt(nearest).mean(axis=1)
+        found[at : at + SLICE] = np.sqrt(nearest).mean(axis=1)
     return found
 
 

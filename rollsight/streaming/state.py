@@ -109,7 +109,7 @@ def updated_states(
     count = len(signals)
     rows = scored.select(
         "stand", F.lit(0).alias("block"), "ts", "coil_id", "distance",
-        *[X.finite_or_zero(F.col(s)).alias(s) for s in signals],
+        *[F.expr(f"{X.usable(s)} AS `{s}`") for s in signals],
     )
     stats = block_stats(rows, signals).limit(MAX_STANDS).collect()
     distances = {
