@@ -26,6 +26,10 @@ from ..sources import coils as K
 from ..sources import fixtures as V
 from ..sources import tables as T
 from ..sources import wire as J
+from ..functions.session import scratch_folder
+from ..streaming import jobs as B
+from . import registry as G
+from . import training as M
 from .scoring import apply_model
 from .snapshot import snapshot_rates
 
@@ -651,3 +655,40 @@ def detector_scores(readings):
 def detector_scores_full(readings):
     """All ten process signals."""
     return _scored(readings, tuple(C.PROCESS_SIGNALS))
+
+
+# --- streaming and training ---------------------------------------------------------------
+
+
+def _finished(stream):
+    stream.awaitTermination()
+    if stream.exception() is not None:
+        raise stream.exception()
+
+
+@query("readings_stream")
+def stream_kpi_windows(stream):
+    """Closed windows of the streaming KPI job, run over the events until it has caught up."""
+    stores = B.Stores(scratch_folder(stream.sparkSession, "stream"))
+    _finished(B.start_kpis(stream, stores, "1 hour", THRESHOLD, trigger={"availableNow": True}))
+    return B.read_kpis(stream.sparkSession, stores)
+
+
+@query("readings_stream")
+def stream_scored_events(stream):
+    """Events sent as JSON, then decoded, scored (no model yet) and stored by the job."""
+    stores = B.Stores(scratch_folder(stream.sparkSession, "stream"))
+    raw = J.encode(_wire_events(stream)).select("value")
+    _finished(B.start_scoring(raw, stores, {"availableNow": True}))
+    return B.read_events(stream.sparkSession, stores).select(
+        "ts", "coil_id", "stand", "force", "anomaly_score", "y_any", "model_version"
+    )
+
+
+@query("readings")
+def retrain_registry(readings):
+    """A short training run on all readings and the version it registers."""
+    stores = B.Stores(scratch_folder(readings.sparkSession, "train"))
+    quick = M.BoostParams(iterations=2, step=0.3, depth=3)
+    M.retrain(readings, stores.models, stores.registry, stores.holdout, quick)
+    return G.read_registry(readings.sparkSession, stores.registry)

@@ -515,6 +515,10 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
     q["knn_buffer"] = f"""WITH {_D_ROWS}{_D_BUFFER} SELECT stand, block, reading_id, round(zx, 5) AS z_force,
        round(zy, 5) AS z_gap FROM buf"""
     q["detector_scores"] = _D_SCORES
+    q["stream_kpi_windows"] = f"""SELECT * FROM ({HOURLY}) k
+WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
+    q["stream_scored_events"] = """SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, force,
+       0.0::DOUBLE AS anomaly_score, y_any, 0 AS model_version FROM readings"""
     return q
 
 

@@ -160,6 +160,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _READINGS, events=table(spark, sf_dir, "events"))
 
 
+def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same view over the events table read as a stream."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return _run(spark, _READINGS, events=events)
+
+
 def readings_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _READINGS_BIG, lineitem=table(spark, sf_dir, "lineitem"))
 
