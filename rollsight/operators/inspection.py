@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions import columns as X
+from ..sources.tables import newest_batches
 from .latest import latest, worst_stand
 
 _SEEN = ["anomaly_score", *C.PROBABILITIES, "model_version", "ts", "u_anomaly", "u_votes"]
@@ -101,8 +102,10 @@ def resorted(inspect: DataFrame, column: str, ascending: bool = False) -> DataFr
 
 def alarm_ticker(df: DataFrame, threshold, limit: int = 25) -> DataFrame:
     """Newest alarms first."""
+    alarm = X.is_alarm(threshold)
     return (
-        df.where(X.is_alarm(threshold))
+        newest_batches(df, alarm, limit)
+        .where(alarm)
         .orderBy(F.desc("reading_id"))
         .limit(limit)
         .select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
+from ..functions.session import shuffle_width
 from ..operators.latest import latest
 
 DAY = "ts_day"
@@ -77,6 +78,40 @@ def compact(spark: SparkSession, path: str, target: str, keys: list[str]) -> Non
     folded.write.mode("errorifexists").parquet(f"{target}/batch_id=0")
 
 
+def compact_events(spark: SparkSession, path: str, target: str, rows_per_file: int = 5_000_000) -> None:
+    """Rewrite small batch files into day folders of evenly sized files, sorted by time.
+
+    The order (day, time, id) is range-partitioned, so a day with most of the rows becomes
+    many files; within a file the time order lets readers skip row groups.
+    """
+    events = read_batches(spark, path).drop("batch_id")
+    ordered = events.repartitionByRange(shuffle_width(spark), DAY, "ts", "reading_id")
+    (
+        ordered.sortWithinPartitions(DAY, "ts", "reading_id")
+        .write.mode("errorifexists").partitionBy(DAY)
+        .option("maxRecordsPerFile", rows_per_file)
+        .parquet(f"{target}/batch_id=0")
+    )
+
+
+def newest_batches(df: DataFrame, wanted, rows: int) -> DataFrame:
+    """The part of a stored table that holds its `rows` newest rows satisfying `wanted`.
+
+    Ids are batch-major, so the newest rows are in the last batches. The span of batches is
+    widened until they hold enough rows or nothing older is left; the answer stays exact.
+    """
+    if "batch_id" not in df.columns:
+        return df
+    first, last = df.agg(F.min("batch_id"), F.max("batch_id")).first()
+    span = 16
+    while last is not None and last - span >= first:
+        part = df.where(F.col("batch_id") > last - span)
+        if part.where(wanted).limit(rows).count() >= rows:
+            return part
+        span *= 16
+    return df
+
+
 def between_ts(df: DataFrame, start, end) -> DataFrame:
     """start <= ts <= end, with the day predicate that prunes partitions."""
     start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")

@@ -144,3 +144,25 @@ def test_upsert_and_compaction(spark, tmp_path):
     assert T.read_batches(spark, f"{tmp_path}/kpi2").count() == 3
     with pytest.raises(Exception):
         T.compact(spark, path, f"{tmp_path}/kpi2", ["k"])
+
+
+def test_event_compaction_keeps_every_row(spark, tmp_path):
+    path, target = f"{tmp_path}/events", f"{tmp_path}/compact"
+    for batch in range(4):
+        T.append_batch(T.stamp(scored(spark, [0, 0, 0, batch]), batch), path, batch)
+    T.compact_events(spark, path, target, rows_per_file=5)
+    before, after = (
+        sorted((r["reading_id"], r["ts"]) for r in T.read_batches(spark, p).collect()) for p in (path, target)
+    )
+    assert after == before and len(after) == 16
+    files = list((tmp_path / "compact").glob("batch_id=0/ts_day=2024-05-01/*.parquet"))
+    assert len(files) >= 3
+
+
+@pytest.mark.parametrize("every, expected", [(1, 25), (30, 7), (1000, 1)])
+def test_newest_rows_come_from_the_last_batches(spark, every, expected):
+    frame = spark.range(200).selectExpr("id AS reading_id", "CAST(id AS INT) AS batch_id")
+    wanted = F.col("reading_id") % every == 0
+    part = T.newest_batches(frame, wanted, 25)
+    got = [r[0] for r in part.where(wanted).orderBy(F.desc("reading_id")).limit(25).select("reading_id").collect()]
+    assert got == [i for i in range(199, -1, -1) if i % every == 0][:25] and len(got) == expected
