@@ -507,7 +507,7 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
     ) + ", 0 AS model_version FROM readings"
     q["block_stats"] = _block_stats()
     after = [
-        f"""SELECT stand, block, n_before, '{signal}' AS signal, round({m}, 6) AS mean,
+        f"""SELECT stand, block, CAST(n_before AS BIGINT) AS n_before, '{signal}' AS signal, round({m}, 6) AS mean,
        round(sqrt(greatest({c}, 1e-12)), 6) AS sd FROM st"""
         for signal, m, c in (("force", "mx", "cxx"), ("gap", "my", "cyy"))
     ]

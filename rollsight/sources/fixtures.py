@@ -15,11 +15,13 @@ _SPARK = {
     "K": "get_json_object(props, '$.k')",
     "LATER": "timestampadd(MILLISECOND, k * 10, ts)",
     "DIV": "div",
+    "PLAIN_TIME": "TIMESTAMP_NTZ",
 }
 _CHECK = {
     "K": "json_extract_string(props, '$.k')",
     "LATER": "ts + to_milliseconds(k * 10)",
     "DIV": "//",
+    "PLAIN_TIME": "TIMESTAMP",
 }
 
 _READINGS = """
@@ -108,7 +110,7 @@ SELECT version, trained_at, n_train_samples, threshold,
        precision_ AS [Q]precision[Q], recall_ AS recall,
        recall_electric, recall_bearing, recall_workroll, recall_reduction, trained_on
 FROM (
-SELECT model_version AS version, date_trunc('second', max(ts)) AS trained_at,
+SELECT model_version AS version, CAST(date_trunc('second', max(ts)) AS [PLAIN_TIME]) AS trained_at,
        count(*) AS n_train_samples, max(threshold) AS threshold,
        coalesce(CAST(count(*) FILTER (WHERE y_any AND hit) AS DOUBLE)
                 / nullif(count(*) FILTER (WHERE hit), 0), 0.0) AS precision_,
@@ -143,7 +145,7 @@ def check_sql() -> dict[str, str]:
         "readings": readings,
         "readings_big": _fill(_READINGS_BIG, {"lineitem": "lineitem"}),
         "coil_wide": _fill(_COIL_WIDE, {"lineitem": "lineitem"}),
-        "registry": _fill(_REGISTRY, {"readings": "readings", "Q": '"'}),
+        "registry": _fill(_REGISTRY, _CHECK | {"readings": "readings", "Q": '"'}),
     }
 
 
