@@ -116,7 +116,7 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
     Within a chunk of FADE samples the recurrence is a prefix sum of terms scaled by
     (1 − α)^-samples, which stays far from overflow; a chunk starts from the states of the
     two chunks before it, as all earlier ones have faded out. The windows see one row per
-    block (and moment), whose number depends on the time span, not on the row count.
+    block and moment, whose number depends on the time span, not on the row count.
     """
     by_stand = W.partitionBy("stand").orderBy("block")
     ahead = by_stand.rowsBetween(W.unboundedPreceding, -1)
@@ -136,39 +136,36 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
         "stand", "block", *kept, "chunk",
         weight.alias("beta"), first.alias("prior"), F.posexplode("moments").alias("k", "value"),
     )
-    chunk_window = W.partitionBy("stand", "k", "chunk").orderBy("block")
-    earlier = chunk_window.rowsBetween(W.unboundedPreceding, -1)
-    inside = long.select(
-        "*",
-        (
-            F.coalesce(F.sum(scaled).over(earlier), F.lit(0.0))
-            * _remaining(alpha, F.col("n_before") - start)
-        ).alias("own"),
-        F.first("n_before").over(chunk_window).alias("chunk_start"),
-    )
-    # The state a chunk ends with if it had started from zero.
-    ends = inside.groupBy("stand", "k", "chunk").agg(
-        F.max_by(F.col("own") * (1 - F.col("beta")) + F.col("beta") * F.col("value"), "block").alias("end"),
-        (F.max(F.col("n_before") + F.col("n")) - F.min("n_before")).alias("size"),
-        F.max(F.coalesce(F.col("prior")[F.col("k")], F.lit(0.0))).alias("prior_value"),
-    )
-    chunks = W.partitionBy("stand", "k").orderBy("chunk")
-    one, two = F.lag("end", 1).over(chunks), F.lag("end", 2).over(chunks)
-    left_one, left_two = (
-        _remaining(alpha, F.lag("size", back).over(chunks)) for back in (1, 2)
+    # All windows share the partitioning by (stand, moment): one shuffle, no join.
+    by_moment = W.partitionBy("stand", "k").orderBy("block")
+    in_chunk = W.partitionBy("stand", "k", "chunk").orderBy("block")
+    earlier = in_chunk.rowsBetween(W.unboundedPreceding, -1)
+    # `own`: the state before the block if its chunk had started from zero; `own_after` after it.
+    state = long.withColumns({
+        "own": F.coalesce(F.sum(scaled).over(earlier), F.lit(0.0))
+        * _remaining(alpha, F.col("n_before") - start),
+        "chunk_start": F.first("n_before").over(in_chunk),
+    })
+    state = state.withColumn(
+        "own_after", F.col("own") * (1 - F.col("beta")) + F.col("beta") * F.col("value")
     )
-    place = F.row_number().over(chunks)
-    from_prior = (
-        F.when(place == 1, F.col("prior_value"))
-        .when(place == 2, F.col("prior_value") * left_one)
-        .when(place == 3, F.col("prior_value") * left_one * left_two)
-        .otherwise(0.0)
+    # A chunk's first row sees how the chunk before it ended, and so on one chunk further.
+    state = state.withColumns({
+        "last": F.lag("own_after").over(by_moment), "last_start": F.lag("chunk_start").over(by_moment),
+    })
+    state = state.withColumns({
+        "one": F.first("last").over(in_chunk), "one_start": F.first("last_start").over(in_chunk),
+    })
+    state = state.withColumn("last", F.lag("one").over(by_moment))
+    state = state.withColumn("two", F.first("last").over(in_chunk))
+    carry = (
+        F.coalesce("one", F.lit(0.0))
+        + F.coalesce(F.col("two") * _remaining(alpha, F.col("chunk_start") - F.col("one_start")), F.lit(0.0))
+        + F.coalesce(F.col("prior")[F.col("k")], F.lit(0.0)) * _remaining(alpha, F.col("chunk_start"))
     )
-    carry = F.coalesce(one, F.lit(0.0)) + F.coalesce(two * left_one, F.lit(0.0)) + from_prior
-    carried = ends.select("stand", "k", "chunk", carry.alias("carry"))
-    state = inside.join(carried, ["stand", "k", "chunk"]).withColumn(
+    state = state.withColumn(
         "before",
-        F.col("own") + F.col("carry") * _remaining(alpha, F.col("n_before") - F.col("chunk_start")),
+        F.col("own") + carry * _remaining(alpha, F.col("n_before") - F.col("chunk_start")),
     )
     state = state.withColumn(
         "after", F.col("before") * (1 - F.col("beta")) + F.col("beta") * F.col("value")
