@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as X
 from ..operators import drift as D
 from ..operators import inspection as I
 from ..operators import rates as A
@@ -28,12 +29,8 @@ def snapshot_rates(
         F.when(events > 0, F.bround(voted / events, 4)).otherwise(F.lit(0.0)).alias("unsup_rate_recent"),
         F.max("model_version").alias("live_version"),
     )
-    length_s = F.expr(f"extract(second from interval {short})").cast("double")
-    if "second" not in short:
-        length_s = A.X.seconds_between(
-            F.lit("2000-01-01").cast("timestamp_ntz") + F.expr(f"interval {short}"),
-            F.lit("2000-01-01").cast("timestamp_ntz"),
-        )
+    origin = F.lit("2000-01-01").cast("timestamp_ntz")
+    length_s = X.seconds_between(origin + F.expr(f"interval {short}"), origin)
     whole = scored.agg(
         F.count_distinct("coil_id").alias("coils_total"), F.max("ts").alias("anchor_ts")
     )
@@ -55,7 +52,7 @@ def snapshot_rates(
         "anchor_ts", "events_recent",
         F.bround(F.col("events_recent") / length_s, 1).alias("events_per_s"),
         "coils_per_min", "coils_total", "unsup_rate_recent",
-        A.X.seconds_between(A.wall_clock(now), F.col("anchor_ts")).alias("freshness_s"),
+        X.seconds_between(A.wall_clock(now), F.col("anchor_ts")).alias("freshness_s"),
         "latency_ms_p50", "latency_ms_p95", "kpi_start", "kpi_end", "kpi_coils", "live_version",
     )
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from ..functions.session import materialised
 from ..operators import evaluation as E
+from ..operators import latest as L
 from ..operators import splits as S
-from ..operators.latest import latest
 from . import registry as R
 from .scoring import Model, apply_model, with_features
 
@@ -37,7 +37,7 @@ def training_rows(scored: DataFrame) -> DataFrame:
     """Latest row per (coil, stand): features and labels only."""
     signals = [f for f in C.FEATURES if f != "stand"]
     columns = ["coil_id", "stand", "reading_id", *signals, *C.LABELS]
-    return latest(scored.select(*columns), ["coil_id", "stand"]).withColumn(
+    return L.latest(scored.select(*columns), ["coil_id", "stand"]).withColumn(
         "y_any", F.coalesce(F.greatest(*C.LABELS), F.lit(False))
     )
 
@@ -130,9 +130,7 @@ def retrain(
 
 
 def next_version(spark: SparkSession, registry_path: str) -> int:
-    from ..operators.latest import next_version as following
-
-    return following(R.read_registry(spark, registry_path)).first()["next_version"]
+    return L.next_version(R.read_registry(spark, registry_path)).first()["next_version"]
 
 
 def registry_row(spark: SparkSession, model: Model, n_train: int, moment) -> DataFrame:

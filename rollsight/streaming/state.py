@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions import columns as X
-from ..operators.detectors import _full, _pairs, block_stats, score_matrix
+from ..operators.detectors import _full, block_stats, score_matrix
 from ..plans.registry import numbered_folders
 
 # Far above any plant; a larger number means the stand column holds something else.
@@ -153,5 +153,3 @@ def updated_states(
         }
     return after
 
-
-__all__ = ["blank", "load_states", "save_states", "scorer", "updated_states", "_pairs"]
