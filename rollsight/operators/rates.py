@@ -152,15 +152,14 @@ def latency_recent(df: DataFrame, length: str = "60 seconds", now=None) -> DataF
     Always one row; NULL when nothing qualifies or the table has no arrival time.
     """
     names = {"latency_ms_p50": 0.5, "latency_ms_p95": 0.95}
-    blank = df.sparkSession.range(1).select(F.lit("all").alias("scope"))
     if "ingested_at" not in df.columns:
-        return blank.select(*[F.lit(None).cast("double").alias(name) for name in names])
+        return df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(name) for name in names])
     arrived = F.col("ingested_at") > wall_clock(now) - F.expr(f"interval {length}")
     rows = with_latency(recent(df, length).where(arrived)).select(
         F.lit("all").alias("scope"), "latency_ms"
     )
     found = percentiles_of_steps(rows, ["scope"], "latency_ms", names)
-    return blank.join(found, "scope", "left").select(*names)
+    return found.agg(*[F.max(name).alias(name) for name in names])
 
 
 def coils_total(df: DataFrame, approximate: bool = False) -> DataFrame:

@@ -38,22 +38,24 @@ def snapshot_rates(
         F.col("window_start").alias("kpi_start"), F.col("window_end").alias("kpi_end"),
         F.col("coils").alias("kpi_coils"), "coils_per_min",
     )
-    one = F.lit(1).alias("_one")
-    parts = [
-        totals.select(one, "*"),
-        whole.select(one, "*"),
-        speed.select(one, "*"),
-        A.latency_recent(scored, latency, now).select(one, "*"),
-    ]
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.join(F.broadcast(part), "_one", "left")  # each part is a single row
-    return joined.select(
-        "anchor_ts", "events_recent",
+
+    def row(part: DataFrame):
+        """A one-row (or empty) result as a scalar struct."""
+        return part.select(F.struct("*").alias("row")).scalar()
+
+    vitals = totals.select(
+        "*",
+        row(whole).alias("whole"),
+        row(speed).alias("kpi"),
+        row(A.latency_recent(scored, latency, now)).alias("latency"),
+    )
+    return vitals.select(
+        "whole.anchor_ts", "events_recent",
         F.bround(F.col("events_recent") / length_s, 1).alias("events_per_s"),
-        "coils_per_min", "coils_total", "unsup_rate_recent",
-        X.seconds_between(A.wall_clock(now), F.col("anchor_ts")).alias("freshness_s"),
-        "latency_ms_p50", "latency_ms_p95", "kpi_start", "kpi_end", "kpi_coils", "live_version",
+        "kpi.coils_per_min", "whole.coils_total", "unsup_rate_recent",
+        X.seconds_between(A.wall_clock(now), F.col("whole.anchor_ts")).alias("freshness_s"),
+        "latency.latency_ms_p50", "latency.latency_ms_p95", "kpi.kpi_start", "kpi.kpi_end",
+        "kpi.kpi_coils", "live_version",
     )
 
 
