@@ -1,6 +1,6 @@
 """Toxicity classifier whose scores do not depend on the groups that a text names.
 
-A logistic model over hashed words and letter five-grams is trained on labelled texts. For every
+A logistic model over hashed words and word beginnings is trained on labelled texts. For every
 training text whose sentences name a group, a counterfactual text is made by swapping each
 identity term for another of its kind; the squared difference of the two scores (before the
 logistic function) is added to the loss, so that weights on identity terms, and on what only
@@ -27,7 +27,7 @@ SLOTS = 1 << 18
 FEATURES = 4_096
 LEAST_DOCS = 4
 SWAP_WEIGHT = 1.0
-RIDGE = 1e-3
+RIDGE = 1e-4
 STEPS = 300
 # Swaps go round within a kind.
 IDENTITY_TERMS = (
@@ -39,7 +39,7 @@ IDENTITY_TERMS = (
     ("african", "european", "american", "mexican", "chinese", "indian"), ("old", "young"),
     ("blind", "deaf", "disabled"),
 )
-_GRAM = 5
+PREFIX = (3, 10)
 
 
 class Model(NamedTuple):
@@ -56,29 +56,26 @@ def _prepared(text: str | None) -> np.ndarray:
 
 
 def slots_of(text: str | None) -> np.ndarray:
-    """Hash slots of the words and five-byte runs inside words (blanks at their ends), not unique."""
+    """Hash slots of the words and of the beginnings of longer words, not unique.
+
+    Beginnings have `PREFIX` bytes and are other features than a word of the same letters, so a
+    stem that is harmless by itself can still count where words are made from it.
+    """
     data = _prepared(text)
     if len(data) < 3:
         return np.zeros(0, dtype=np.int64)
-    x = data.astype(np.uint32)
-    n = len(x)
     blank = data == 32
-    at = np.flatnonzero(blank)
-    # A word's hash is a sum over its bytes, each mixed with its place in the word.
-    inside = np.arange(n) - np.maximum.accumulate(np.where(blank, np.arange(n), 0))
-    mixed = (x + 1) * ((inside.astype(np.uint32) * np.uint32(0x9E3779B1)) | np.uint32(1))
+    at = np.arange(len(data))
+    start = np.maximum.accumulate(np.where(blank, at, 0))
+    inside = (at - start).astype(np.uint32)
+    # The hash of a word's first bytes is a sum over them, each mixed with its place in the word.
+    mixed = (data.astype(np.uint32) + np.uint32(1)) * (inside * np.uint32(0x9E3779B1) | np.uint32(1))
     mixed ^= mixed >> np.uint32(15)
     total = np.cumsum(mixed * np.uint32(0x85EBCA6B), dtype=np.uint32)
-    words = total[at[1:] - 1] - total[at[:-1]]
-    words = _spread(words, 1)
-    if n < _GRAM:
-        return words
-    runs = np.zeros(n - _GRAM + 1, dtype=np.uint32)
-    for place in range(_GRAM):
-        runs = runs * np.uint32(0x01000193) + x[place:n - _GRAM + 1 + place]
-    holes = np.cumsum(np.concatenate(([0], blank)))
-    middle = holes[_GRAM - 1:n] - holes[1:n - _GRAM + 2]
-    return np.concatenate((words, _spread(runs[middle == 0], 2)))
+    upto = total - total[start]
+    last = np.append(blank[1:], True) & ~blank
+    begun = (inside >= PREFIX[0]) & (inside <= PREFIX[1]) & ~last & ~blank
+    return np.concatenate((_spread(upto[last], 1), _spread(upto[begun], 2)))
 
 
 def _spread(values: np.ndarray, salt: int) -> np.ndarray:
@@ -224,11 +221,14 @@ def fit(rows: DataFrame, terms=IDENTITY_TERMS, swap_weight: float = SWAP_WEIGHT,
     twin = [k for k, other in enumerate(data["other"]) if other is not None]
     swapped = _Rows([data["other"][k] for k in twin], len(slots))
     twin = np.array(twin, dtype=np.int64)
+    # Both classes weigh the same, so 0.5 parts them whatever their numbers.
+    share = np.where(y > 0, 0.5 / max(toxic, 1), 0.5 / max(clean, 1))
+    bias = 0.0
     weights = np.zeros(len(slots))
     mean, speed = np.zeros(len(slots) + 1), np.zeros(len(slots) + 1)
     for step in range(1, steps + 1):
         z = x.times(weights) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
         slope = x.back(error) + ridge * weights
         if len(twin):
             gap = 2 * swap_weight * (z[twin] - bias - swapped.times(weights)) / len(y)
