@@ -30,7 +30,8 @@ from .tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
-NODES = 4_000
+# Fillings that the search lists before it settles for the best packing it has.
+STEPS = 4_000
 SMALL = 16
 WIDTH = 3
 SLICE_CHARS = 1_000_000
@@ -58,48 +59,93 @@ def lower_bound(counts: np.ndarray) -> int:
 
 
 def best_fit(counts: np.ndarray) -> list[tuple[Filling, int]]:
-    """Best-fit decreasing: longest first, into the fullest sequence that still has room."""
+    """Best-fit decreasing, all pieces of one length at a time.
+
+    The fullest open sequence with enough room takes as many as fit before the next one is looked
+    at, so sequences that hold the same are filled together and the work does not depend on how
+    many pieces there are.
+    """
     capacity = len(counts) - 1
-    open_: list[list[dict[int, int]]] = [[] for _ in range(capacity + 1)]
+    open_: list[Counter] = [Counter() for _ in range(capacity + 1)]
     room = np.zeros(capacity + 1, dtype=bool)
-    for size in range(capacity, 0, -1):
-        for _ in range(int(counts[size])):
-            at = int(room[size:].argmax()) + size
-            held = open_[at].pop() if room[at] else {}
-            left = (at if held else capacity) - size
-            if held:
-                room[at] = bool(open_[at])
-            held[size] = held.get(size, 0) + 1
-            open_[left].append(held)
-            room[left] = True
-    made = Counter(tuple(sorted(held.items(), reverse=True)) for level in open_ for held in level)
+
+    def put(held: Filling, size: int, each: int, sequences: int, left: int):
+        open_[left][_together(held, ((size, each),))] += sequences
+        room[left] = True
+
+    for size in np.flatnonzero(counts)[::-1].tolist():
+        waiting = int(counts[size])
+        for at in (np.flatnonzero(room[size:]) + size).tolist():
+            each = at // size
+            for held, sequences in list(open_[at].items()):
+                if not waiting:
+                    break
+                del open_[at][held]
+                full = min(sequences, waiting // each)
+                if full:
+                    put(held, size, each, full, at - each * size)
+                    waiting -= full * each
+                    sequences -= full
+                if sequences and waiting:
+                    put(held, size, waiting, 1, at - waiting * size)
+                    waiting, sequences = 0, sequences - 1
+                if sequences:
+                    open_[at][held] += sequences
+            room[at] = bool(open_[at])
+        each = capacity // size
+        if waiting // each:
+            put((), size, each, waiting // each, capacity - each * size)
+        if waiting % each:
+            put((), size, waiting % each, 1, capacity - waiting % each * size)
+    made: Counter = Counter()
+    for level in open_:
+        made.update(level)
     return sorted(made.items(), reverse=True)
 
 
-def _exact(counts: np.ndarray, target: int, parts: int) -> Filling | None:
-    """Lengths that sum to `target`, at most `parts` of them, with a long one first."""
+def _reached(there: list[int], room: int) -> tuple[int, int]:
+    """Bit sets of the sums up to `room` of two, and of none to three, of these lengths.
+
+    A length may be taken more often than it is there; whoever uses a sum has to check.
+    """
+    mask = (1 << (room + 1)) - 1
+    one = two = three = 0
+    for size in there:
+        one |= 1 << size
+    for size in there:
+        two |= one << size
+    two &= mask
+    for size in there:
+        three |= two << size
+    return two, (1 | one | two | three) & mask
+
+
+def _exact(counts: np.ndarray, target: int, two: int) -> Filling | None:
+    """Up to three lengths that sum to `target`, a long one first; `two` has the sums of two."""
     if target == 0:
         return ()
     if counts[target]:
         return ((target, 1),)
-    if parts == 1:
-        return None
-    half = (target + 1) // 2
-    high = np.arange(half, target)
+    if two >> target & 1 and (pair := _pair(counts, target)):
+        return pair
+    for long in np.flatnonzero(counts[:target])[::-1].tolist():
+        if two >> (target - long) & 1:
+            counts[long] -= 1
+            rest = _pair(counts, target - long)
+            counts[long] += 1
+            if rest:
+                return _together(((long, 1),), rest)
+    return None
+
+
+def _pair(counts: np.ndarray, target: int) -> Filling | None:
+    high = np.arange((target + 1) // 2, target)
     low = target - high
-    fits = (counts[high] > 0) & (counts[low] > 0) & ((high != low) | (counts[high] > 1))
-    if fits.any():
-        long = int(high[fits][-1])
-        return ((long, 2),) if 2 * long == target else ((long, 1), (target - long, 1))
-    if parts == 2:
+    fits = np.flatnonzero((counts[high] > 0) & (counts[low] > 0) & ((high != low) | (counts[high] > 1)))
+    if not len(fits):
         return None
-    for long in np.flatnonzero(counts[:target])[::-1][:64].tolist():
-        counts[long] -= 1
-        rest = _exact(counts, target - long, 2)
-        counts[long] += 1
-        if rest is not None:
-            return _together(((long, 1),), rest)
-    return None
+    long = int(high[fits[-1]])
+    return ((long, 2),) if 2 * long == target else ((long, 1), (target - long, 1))
 
 
 def _together(*parts: Filling) -> Filling:
@@ -134,8 +180,8 @@ def _all_fillings(counts: np.ndarray, room: int) -> list[Filling]:
     return sorted(set(found), key=lambda f: (waste(f), len(f), [-s for s, _ in f]))
 
 
-def fillings(counts: np.ndarray, room: int) -> list[Filling]:
-    """Fillings of `room` by the pieces left, fullest first; all undominated ones if few are left."""
+def fillings(counts: np.ndarray, room: int, width: int) -> list[Filling]:
+    """The `width` fullest fillings of `room` by the pieces left; all undominated ones if few are left."""
     if room == 0:
         return [()]
     if int(counts.sum()) <= SMALL:
@@ -151,12 +197,13 @@ def fillings(counts: np.ndarray, room: int) -> list[Filling]:
         counts[longest] -= times
         room -= times * longest
     head: Filling = tuple(base.items())
-    for target in range(room, -1, -1):
-        filling = _exact(counts, target, 3)
+    two, sums = _reached(np.flatnonzero(counts[:room + 1]).tolist(), room)
+    while sums and len(found) < width:
+        target = sums.bit_length() - 1
+        sums ^= 1 << target
+        filling = _exact(counts, target, two)
         if filling is not None:
             found.append(_together(head, filling))
-            if len(found) == WIDTH or target < room - 8:
-                break
     return found
 
 
@@ -166,26 +213,27 @@ class Plan(NamedTuple):
     proven: bool  # whether it equals the lower bound
 
 
-def solve(counts, nodes: int = NODES) -> Plan:
+def solve(counts, steps: int = STEPS) -> Plan:
     """Pack `counts[length]` pieces of each length; the last index is the capacity."""
     counts = np.array(counts, dtype=np.int64)
     counts[0] = 0
     capacity = len(counts) - 1
     best = best_fit(counts)
+    sizes = np.arange(capacity + 1)
     fewest, bound = sum(n for _, n in best), lower_bound(counts)
-    # A path is a chain (earlier path, filling, times).
-    stack: list[tuple] = [(None, 0)]
-    while stack and nodes and fewest > bound:
-        nodes -= 1
-        path, used = stack.pop()
+    # A path is a chain (earlier path, filling, times); a branch is a path and which filling,
+    # by fullness, is to be tried around the longest piece that is left after it.
+    stack: list[tuple] = [(None, 0, 0)]
+    while stack and steps > 0 and fewest > bound:
+        path, used, rank = stack.pop()
         left, step = counts.copy(), path
         while step is not None:
             for size, n in step[1]:
                 left[size] -= n * step[2]
             step = step[0]
         while True:
-            volume = int((left * np.arange(capacity + 1)).sum())
-            if used + -(-volume // capacity) >= fewest:
+            volume = int(left @ sizes)
+            if used + -(-volume // capacity) >= fewest or steps <= 0:
                 break
             if not volume:
                 best, fewest, step = [], used, path
@@ -193,21 +241,21 @@ def solve(counts, nodes: int = NODES) -> Plan:
                     best.append((step[1], step[2]))
                     step = step[0]
                 break
+            steps -= 1
             longest = int(np.flatnonzero(left)[-1])
+            small = int(left.sum()) <= SMALL
             left[longest] -= 1
-            options = fillings(left, capacity - longest) or [()]
+            options = fillings(left, capacity - longest, rank + 1)
             left[longest] += 1
-            small = int(left.sum()) <= SMALL
-            ways = []
-            for option in options:
-                whole = _together(((longest, 1),), option)
-                times = 1 if small else min(int(left[s]) // n for s, n in whole)
-                ways.append((whole, times))
-            stack.extend(((path, *way), used + way[1]) for way in reversed(ways[1:]))
-            whole, times = ways[0]
+            if rank >= len(options):
+                break
+            if small or rank + 1 < WIDTH:
+                stack.append((path, used, rank + 1))
+            whole = _together(((longest, 1),), options[rank])
+            times = 1 if small else min(int(left[s]) // n for s, n in whole)
             for size, n in whole:
                 left[size] -= n * times
-            path, used = (path, whole, times), used + times
+            path, used, rank = (path, whole, times), used + times, 0
     merged: Counter = Counter()
     for filling, times in best:
         merged[filling] += times
@@ -317,7 +365,7 @@ def _placed(found: Places) -> Callable:
 
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = END_ID,
-           derive: dict[str, tuple[str, Callable]] | None = None, nodes: int = NODES) -> DataFrame:
+           derive: dict[str, tuple[str, Callable]] | None = None, steps: int = STEPS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, `ids` (or `derive`), sequence_id, offset.
 
     Every row of `docs` is packed, repeated rows each for themselves; null and empty texts are
@@ -331,7 +379,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[row["length"]] = row["n"]
-    found = places(solve(counts, nodes))
+    found = places(solve(counts, steps))
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = materialised(
         sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
