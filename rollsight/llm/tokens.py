@@ -9,6 +9,7 @@ text are gathered from a table. Texts with runs of white space are encoded whole
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 
@@ -16,8 +17,9 @@ import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
-CACHE_PARTS = 200_000
-_CROWDED = re.compile(r"\s \s?| \s")
+CACHE_PARTS = 500_000
+# White space other than a blank, next to a blank.
+_SPACED = re.compile(r"[^\S ] | [^\S ]")
 # The word pattern of the byte-level pre-tokenizer, and its byte alphabet.
 _PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -60,24 +62,42 @@ class Encoder:
         self.plain = None
         if ranks is not None:
             self.plain = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._line_feed = ranks[b"\n"]
         self._forget()
 
     def _forget(self):
-        self._place: dict[str, int] = {}
+        # A string stands for itself after a blank, a tuple of one string for itself alone.
+        self._place: dict[str | tuple[str], int] = {}
         self._flat, self._used = np.zeros(1 << 16, dtype=np.int32), 0
-        self._start, self._length = [], []
-
-    def _learn(self, parts):
-        found = [self.plain.encode_ordinary(part) for part in parts]
-        need = self._used + sum(map(len, found))
-        if need > len(self._flat):
-            self._flat = np.concatenate((self._flat[:self._used], np.zeros(2 * need - self._used, np.int32)))
-        for part, ids in zip(parts, found):
-            self._place[part] = len(self._start)
-            self._start.append(self._used)
-            self._length.append(len(ids))
-            self._flat[self._used:self._used + len(ids)] = ids
-            self._used += len(ids)
+        self._start = np.zeros(1 << 12, dtype=np.int64)  # of a part's ids, and their end after it
+
+    def _learn(self, parts: list) -> None:
+        """Encode new parts; those without white space together, a line each."""
+        lines = [p for p in parts if not isinstance(p, tuple) and len(p.split()) == 1]
+        # A line feed before a blank and a word is a token of its own and parts the ids again.
+        if lines:
+            ids = np.array(self.plain.encode_ordinary(" " + "\n ".join(lines) + "\n"), dtype=np.int32)
+            ends = np.flatnonzero(ids == self._line_feed)
+            if len(ends) == len(lines):
+                keep = np.ones(len(ids), dtype=bool)
+                keep[ends] = False
+                self._add(lines, ids[keep], np.diff(ends, prepend=-1) - 1)
+        for part in parts:
+            if part not in self._place:
+                ids = self.plain.encode_ordinary(part[0] if isinstance(part, tuple) else " " + part)
+                self._add([part], np.array(ids, dtype=np.int32), np.array([len(ids)]))
+
+    def _add(self, parts, ids, lengths):
+        place, end = len(self._place), self._used + len(ids)
+        if end > len(self._flat):
+            self._flat = np.concatenate((self._flat, np.zeros(end + len(self._flat), np.int32)))
+        need = place + len(parts) + 1
+        if need > len(self._start):
+            self._start = np.concatenate((self._start, np.zeros(need + len(self._start), np.int64)))
+        self._flat[self._used:end] = ids
+        self._start[place + 1:need] = self._used + np.cumsum(lengths)
+        self._place.update(zip(parts, range(place, place + len(parts))))
+        self._used = end
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after the other, and the number of ids of each text."""
@@ -87,25 +107,27 @@ class Encoder:
             return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
         if len(self._place) > CACHE_PARTS:
             self._forget()
-        parts: list[str] = []
+        parts: list = []
         ends = []
         for text in texts:
-            if _CROWDED.search(text):
-                parts.append(text)
+            if "  " in text or _SPACED.search(text):
+                parts.append((text,))
             elif text:
                 first, *rest = text.split(" ")
                 if first:
-                    parts.append(first)
-                parts.extend([" " + part for part in rest])
+                    parts.append((first,))
+                parts += rest
             ends.append(len(parts))
-        unknown = set(parts).difference(self._place)
-        if unknown:
-            self._learn(unknown)
         if not parts:
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        places = np.fromiter(map(self._place.__getitem__, parts), np.int64, len(parts))
-        lengths = np.array(self._length, dtype=np.int64)[places]
-        starts = np.array(self._start, dtype=np.int64)[places]
+        places = np.fromiter(map(self._place.get, parts, itertools.repeat(-1)), np.int64, len(parts))
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            found = [parts[k] for k in unknown.tolist()]
+            self._learn(list(dict.fromkeys(found)))
+            places[unknown] = [self._place[part] for part in found]
+        starts = self._start[places]
+        lengths = self._start[places + 1] - starts
         total = np.cumsum(lengths)
         where = np.repeat(starts - (total - lengths), lengths) + np.arange(int(total[-1]))
         upto = np.concatenate(([0], total))[np.array(ends)]
