@@ -69,6 +69,7 @@ class DetectorParams:
     ridge: float = 1e-3
     buffer: int = 300
     neighbours: int = 5
+    least_buffer: int = 50
     variance_floor: float = 1e-12
     distance_floor: float = 1e-9
 

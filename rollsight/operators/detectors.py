@@ -35,8 +35,8 @@ GROUP_ROWS = 50_000
 # Rows whose distance table (rows × 300) stays inside a core's cache.
 SLICE = 512
 
-# Samples after which an old state weighs (1 − 0.002)^100000 ≈ e^-200, below any rounding.
-FADE = 100_000
+# An old state whose weight is e^-FADED is below any rounding, and e^FADED is no overflow.
+FADED = 200.0
 
 # Narrow per-block tables (a few numbers a row) may be broadcast up to this many rows.
 NARROW_ROWS = 500_000
@@ -100,6 +100,13 @@ def block_moments(stats: DataFrame, signals) -> DataFrame:
     return stats.selectExpr("stand", "block", "n", f"inline(array({rows}))")
 
 
+def fade_samples(alpha: float) -> int:
+    """Samples after which an old state no longer weighs anything."""
+    if not 0 < alpha < 1:
+        raise ValueError("the rate per sample lies between 0 and 1")
+    return max(1, math.ceil(FADED / -math.log1p(-alpha)))
+
+
 def _remaining(alpha: float, samples):
     """(1 − α)^samples."""
     return F.exp(samples * F.lit(math.log1p(-alpha)))
@@ -113,20 +120,21 @@ def ewma_before(blocks: DataFrame, alpha: float, prior=None) -> DataFrame:
     column or None) the state starts there; without it the first block sets the state and
     `before` is NULL for it.
 
-    Within a chunk of FADE samples the recurrence is a prefix sum of terms scaled by
+    Within a chunk of `fade_samples` the recurrence is a prefix sum of terms scaled by
     (1 − α)^-samples, which stays far from overflow; a chunk starts from the states of the
     two chunks before it, as all earlier ones have faded out. The windows see one row per
     block and moment, whose number depends on the time span, not on the row count.
     """
+    fade = fade_samples(alpha)
     by_stand = W.partitionBy("stand").orderBy("block")
     ahead = by_stand.rowsBetween(W.unboundedPreceding, -1)
     counted = blocks.withColumn("n_before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-    counted = counted.withColumn("chunk", F.floor(F.col("n_before") / FADE))
-    start = F.col("chunk") * FADE
+    counted = counted.withColumn("chunk", F.floor(F.col("n_before") / fade))
+    start = F.col("chunk") * fade
     weight = 1 - _remaining(alpha, F.col("n"))
     if prior is None:
         weight = F.when(F.col("n_before") == 0, 1.0).otherwise(weight)
-    ends_inside = F.col("n_before") + F.col("n") < start + FADE
+    ends_inside = F.col("n_before") + F.col("n") < start + fade
     scaled = F.when(
         ends_inside, F.col("value") * F.col("beta") / _remaining(alpha, F.col("n_before") + F.col("n") - start)
     ).otherwise(0.0)
@@ -283,49 +291,65 @@ def nearest_mean(z: np.ndarray, buffer: np.ndarray, neighbours: int) -> np.ndarr
     return found
 
 
-def score_matrix(x, mean, cov, buffer, params: C.DetectorParams):
-    """(maha, spc, neighbour distance) of rows `x` under one state."""
-    gaps = x - mean
-    ridged = cov + params.ridge * np.eye(len(mean))
-    try:
-        inverse = np.linalg.inv(ridged)
-    except np.linalg.LinAlgError:
-        inverse = np.linalg.pinv(ridged)
-    maha = ((gaps @ inverse) * gaps).sum(axis=1)
-    z = gaps / np.sqrt(np.maximum(np.diag(cov), params.variance_floor))
-    return maha, np.abs(z).max(axis=1), nearest_mean(z, buffer, params.neighbours)
+class Yardstick:
+    """One state, prepared once for all rows that are measured by it.
+
+    The covariance with its ridge is brought to unit diagonal, so that signals of any size are
+    treated alike, and split into principal axes; along them the Mahalanobis distance is a plain
+    sum of squares. Axes without any spread do not count.
+    """
+
+    def __init__(self, mean: np.ndarray, cov: np.ndarray, params: C.DetectorParams):
+        ridged = cov + params.ridge * np.eye(len(mean))
+        unit = np.sqrt(np.maximum(ridged.diagonal(), params.variance_floor))
+        spread, axes = np.linalg.eigh(ridged / np.outer(unit, unit))
+        usable = spread > 1e-14
+        self.mean, self.axes = mean, axes[:, usable] / np.sqrt(spread[usable]) / unit[:, None]
+        self.scale = np.sqrt(np.maximum(cov.diagonal(), params.variance_floor))
+
+    def measure(self, x: np.ndarray):
+        """(Mahalanobis distance squared, largest z, all z) of rows."""
+        gaps = x - self.mean
+        z = gaps / self.scale
+        return np.square(gaps @ self.axes).sum(axis=1), np.abs(z).max(axis=1), z
 
 
 def score_rows(rows: DataFrame, states: DataFrame, refs: DataFrame, signals, keys, params):
-    """u_maha, u_spc and the raw neighbour distance of every row of a warmed-up block.
+    """u_maha, u_spc and the raw neighbour distance of every row.
 
     Rows and states are brought together per (stand, block, deal). The number of deals
-    follows from the block's size, so no group exceeds about GROUP_ROWS rows.
+    follows from the block's size, so no group exceeds about GROUP_ROWS rows. Rows of a block
+    before the warm-up, or without a state to compare with, score zero; the distance is NULL
+    there and while a stand has fewer than `least_buffer` reference rows.
     """
     deals = F.ceil(F.col("n") / GROUP_ROWS).cast("int")
-    warm = states.where(F.col("n_before") >= params.warmup)
-    sizes = small_side(warm.select("stand", "block", deals.alias("deals")), NARROW_ROWS)
+    sizes = small_side(states.select("stand", "block", deals.alias("deals")), NARROW_ROWS)
     deal = F.pmod(F.xxhash64("reading_id"), F.col("deals")).cast("int").alias("deal")
     left = rows.join(sizes, ["stand", "block"]).select("stand", "block", deal, *keys, *signals)
     gathered = refs.groupBy("stand", "block").agg(F.collect_list("z").alias("buffer"))
-    right = warm.join(gathered, ["stand", "block"]).select(
-        F.col("stand").alias("of_stand"), F.col("block").alias("of_block"), "pivot", "before", "buffer",
+    ready = (F.col("n_before") >= params.warmup) & F.col("before").isNotNull() & F.col("buffer").isNotNull()
+    # Every group of rows meets one state row, those that score zero too.
+    right = states.join(gathered, ["stand", "block"], "left").select(
+        F.col("stand").alias("of_stand"), F.col("block").alias("of_block"), "pivot",
+        ready.alias("ready"), F.coalesce("before", F.array().cast("array<double>")).alias("before"),
+        F.coalesce("buffer", F.array().cast("array<array<double>>")).alias("buffer"),
         F.explode(F.sequence(F.lit(0), deals - 1)).alias("of_deal"),
     )
     settings, count, names = asdict(params), len(signals), list(signals)
 
     def score(events: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
         out = events[["stand", "block", *keys]].copy()
-        if len(out) == 0 or len(state) == 0:
-            return out.iloc[:0].assign(u_maha=0.0, u_spc=0.0, distance=0.0)
-        held = state.iloc[0]
+        if len(out) == 0 or len(state) == 0 or not state["ready"].iloc[0]:
+            return out.assign(u_maha=0.0, u_spc=0.0, distance=np.nan)
+        setup, held = C.DetectorParams(**settings), state.iloc[0]
         shift = np.asarray(held["before"][:count], dtype="float64")
-        cov = _full(np.asarray(held["before"][count:], dtype="float64"), count)
-        cov -= np.outer(shift, shift)
-        x = events[names].to_numpy("float64")
-        mean = shift + np.asarray(held["pivot"], dtype="float64")
+        cov = _full(np.asarray(held["before"][count:], dtype="float64"), count) - np.outer(shift, shift)
+        yardstick = Yardstick(shift + np.asarray(held["pivot"], dtype="float64"), cov, setup)
+        maha, spc, z = yardstick.measure(events[names].to_numpy("float64"))
         buffer = np.stack([np.asarray(z, dtype="float64") for z in held["buffer"]])
-        maha, spc, near = score_matrix(x, mean, cov, buffer, C.DetectorParams(**settings))
+        near = np.nan
+        if len(buffer) >= setup.least_buffer:
+            near = nearest_mean(z, buffer, setup.neighbours)
         return out.assign(u_maha=maha, u_spc=spc, distance=near)
 
     types = dict(left.dtypes)
@@ -334,13 +358,14 @@ def score_rows(rows: DataFrame, states: DataFrame, refs: DataFrame, signals, key
         + ["u_maha double", "u_spc double", "distance double"]
     )
     states_by_deal = right.groupBy("of_stand", "of_block", "of_deal")
-    return left.groupBy("stand", "block", "deal").cogroup(states_by_deal).applyInPandas(score, schema)
+    scored = left.groupBy("stand", "block", "deal").cogroup(states_by_deal).applyInPandas(score, schema)
+    return scored.withColumn("distance", F.nanvl("distance", F.lit(None).cast("double")))
 
 
 def standardised(scored: DataFrame, params=C.DetectorParams()) -> DataFrame:
     """u_knn: the distance against its own adaptive mean and variance before the block."""
     scored = materialised(scored)
-    blocks = scored.groupBy("stand", "block").agg(
+    blocks = scored.where("distance IS NOT NULL").groupBy("stand", "block").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(F.avg("distance"), F.avg(F.col("distance") * F.col("distance"))).alias("moments"),
     )
@@ -352,8 +377,8 @@ def standardised(scored: DataFrame, params=C.DetectorParams()) -> DataFrame:
     )
     variance = F.col("d")[1] - F.col("d")[0] * F.col("d")[0]
     sd = F.sqrt(F.greatest(variance, F.lit(params.distance_floor)))
-    return scored.join(states, ["stand", "block"]).withColumn(
-        "u_knn", (F.col("distance") - F.col("d")[0]) / sd
+    return scored.join(states, ["stand", "block"], "left").withColumn(
+        "u_knn", F.coalesce((F.col("distance") - F.col("d")[0]) / sd, F.lit(0.0))
     ).drop("d", "distance")
 
 
@@ -371,16 +396,5 @@ def detector_scores(
     stats = materialised(block_stats(rows, signals))
     states = materialised(block_states(stats, signals, params))
     refs = buffers(tail_rows(rows, states, signals, params), states, params)
-    warm = standardised(score_rows(rows, states, refs, signals, keys, params), params)
-    cold_blocks = small_side(
-        states.where(F.col("n_before") < params.warmup).select("stand", "block"), NARROW_ROWS
-    )
-    zero = F.lit(0.0)
-    cold = rows.join(cold_blocks, ["stand", "block"]).select(
-        "stand", "block", *keys, *[zero.alias(u) for u in ("u_maha", "u_spc", "u_knn")]
-    )
-    return (
-        warm.unionByName(cold)
-        .withColumn("u_votes", X.votes())
-        .withColumn("u_anomaly", F.col("u_votes") >= C.VOTES_NEEDED)
-    )
+    scored = standardised(score_rows(rows, states, refs, signals, keys, params), params)
+    return scored.withColumn("u_votes", X.votes()).withColumn("u_anomaly", F.col("u_votes") >= C.VOTES_NEEDED)

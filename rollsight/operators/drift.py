@@ -68,7 +68,7 @@ def drift_decision(
         F.when(
             drifted(family),
             F.format_string(
-                f"{family} (recall %.2f over %d live faults)", recall(family), F.col(f"{family}_pos")
+                f"{family} %.2f of %d faults", recall(family), F.col(f"{family}_pos")
             ),
         )
         for family in C.FAMILIES
@@ -83,24 +83,24 @@ def drift_decision(
     any_drift = reduce(or_, [drifted(family) for family in C.FAMILIES])
     summary = F.concat_ws(", ", *healthy)
     guarded = (
-        F.when(F.lit(not policy.enabled), F.lit("policy disabled"))
-        .when(F.col("version").isNull(), F.lit("no model yet"))
-        .when(F.col("idle_s").isNull(), F.lit("no streamed events yet"))
+        F.when(F.lit(not policy.enabled), F.lit("off by configuration"))
+        .when(F.col("version").isNull(), F.lit("nothing published so far"))
+        .when(F.col("idle_s").isNull(), F.lit("no event stored so far"))
         .when(
             F.col("idle_s") > policy.max_idle_s,
-            F.format_string("stream idle for %.0fs", F.col("idle_s")),
+            F.format_string("last event %.0f s ago", F.col("idle_s")),
         )
         .when(
             F.col("age_s") < policy.min_interval_s,
-            F.format_string("current model is only %.0fs old", F.col("age_s")),
+            F.format_string("newest version published %.0f s ago", F.col("age_s")),
         )
     )
     verdict = F.when(
-        any_drift, F.concat(F.lit("drift detected: "), F.concat_ws(", ", *named))
+        any_drift, F.concat(F.lit("recall too low: "), F.concat_ws(", ", *named))
     ).otherwise(
         F.concat(
-            F.lit("live recall healthy: "),
-            F.when(summary == "", "no labelled faults in window").otherwise(summary),
+            F.lit("recall in order: "),
+            F.when(summary == "", "no confirmed fault to judge by").otherwise(summary),
         )
     )
     return facts.select(

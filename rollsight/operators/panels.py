@@ -101,12 +101,14 @@ def tension_profile(df: DataFrame) -> DataFrame:
 def roll_campaigns(df: DataFrame) -> DataFrame:
     """Mileage saw-tooth per stand: a drop is a roll change and starts a new campaign.
 
+    A row without mileage is kept and is no change; the row after it is none either.
+
     The order (stand, ts, reading_id) is cut into equal pieces; each piece needs only the
     last mileage and the number of changes before it, from a summary of the pieces.
     """
     order = ["stand", "ts", "reading_id"]
     mileage = F.col("work_roll_mileage")
-    rows = df.select(*order, "force", "work_roll_mileage").where(mileage.isNotNull())
+    rows = df.select(*order, "force", "work_roll_mileage")
     cut = pieces(rows, *order)
     in_piece = inside(["stand"], "ts", "reading_id")
     stepped = cut.withColumn("_before", F.lag(mileage).over(in_piece))
@@ -130,10 +132,10 @@ def roll_campaigns(df: DataFrame) -> DataFrame:
         small,
         stepped["stand"].eqNullSafe(small["of_stand"]) & (stepped[PIECE] == small["_of_piece"]),
     )
-    changed = joined.withColumn(
-        "roll_change",
-        F.coalesce(mileage < F.coalesce("_before", "carry"), F.lit(False)),
-    )
+    # Only a piece's first row looks across the border; a missing mileage is not looked past.
+    first = F.row_number().over(in_piece) == 1
+    before = F.when(first, F.col("carry")).otherwise(F.col("_before"))
+    changed = joined.withColumn("roll_change", F.coalesce(mileage < before, F.lit(False)))
     so_far = in_piece.rowsBetween(W.unboundedPreceding, 0)
     campaign = F.col("changes_before") + F.sum(F.col("roll_change").cast("int")).over(so_far)
     return changed.select(

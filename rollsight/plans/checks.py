@@ -66,20 +66,34 @@ def _worst(source: str) -> str:
 
 
 def _inspect(where: str, threshold: str) -> str:
-    """CTEs ev, worst, agg, flagged."""
-    return f"""ev AS ({_latest(f"(SELECT * FROM readings WHERE {where})")}),
-worst AS (SELECT *, {PREDICTED} AS fault FROM ({_worst("ev")}) w),
-agg AS (SELECT coil_id, max(anomaly_score) AS max_score, bool_or(u_anomaly) AS unsup_flag,
-     max(u_votes) AS u_votes, count(*) FILTER (WHERE anomaly_score >= {threshold}) AS stands_alarmed,
-     min(stand) FILTER (WHERE anomaly_score >= {threshold}) AS first_stand
-  FROM ev GROUP BY coil_id HAVING max(anomaly_score) >= {threshold} OR bool_or(u_anomaly)),
-flagged AS (SELECT a.coil_id, w.anomaly_score AS confidence, w.fault AS predicted_fault,
-     w.stand AS worst_stand, a.first_stand, a.stands_alarmed, w.model_version, w.ts,
-     a.max_score >= {threshold} AS model_flag, a.unsup_flag, a.u_votes, a.max_score
-  FROM agg a JOIN worst w USING (coil_id))"""
-
-
-URGENCY = "ORDER BY model_flag DESC, max_score DESC NULLS LAST, u_votes DESC NULLS LAST, coil_id"
+    """CTEs newest (one row per coil and stand) and flagged (one row per coil to inspect).
+
+    One grouped pass: of a coil's rows the highest score, on ties the lowest stand, is picked as
+    a whole row, and the flags are counted beside it.
+    """
+    alarm = f"count(*) FILTER (WHERE anomaly_score >= {threshold})"
+    return f"""newest AS (
+  SELECT unnest(arg_max(r, reading_id)) FROM (SELECT r, r.coil_id, r.stand, r.reading_id FROM
+    (SELECT * FROM readings WHERE {where}) r) x GROUP BY coil_id, stand
+), coils AS (
+  SELECT coil_id, first(r ORDER BY anomaly_score DESC NULLS LAST, stand) AS top,
+         max(anomaly_score) AS max_score, {alarm} AS stands_alarmed, max(u_votes) AS u_votes,
+         min(stand) FILTER (WHERE anomaly_score >= {threshold}) AS first_stand,
+         count(*) FILTER (WHERE u_anomaly) > 0 AS unsup_flag
+  FROM newest r GROUP BY coil_id
+), flagged AS (
+  SELECT coil_id, top.anomaly_score AS confidence,
+         (SELECT {PREDICTED} FROM (SELECT top.p_electric, top.p_bearing, top.p_workroll, top.p_reduction)) AS predicted_fault,
+         top.stand AS worst_stand, first_stand, stands_alarmed, top.model_version, top.ts,
+         stands_alarmed > 0 AS model_flag, unsup_flag, u_votes, max_score
+  FROM coils WHERE stands_alarmed > 0 OR unsup_flag
+)"""
+
+
+# Surest first: flagged by the model, then by score, then by votes.
+BOARD_ORDER = (
+    "ORDER BY CASE WHEN model_flag THEN 0 ELSE 1 END, coalesce(-max_score, 1e300), coalesce(-u_votes, 99), coil_id"
+)
 
 
 def _inspect_list(where: str, threshold: str) -> str:
@@ -88,7 +102,7 @@ SELECT coil_id, confidence, CASE WHEN model_flag THEN predicted_fault END AS pre
        worst_stand, first_stand, stands_alarmed, model_version, ts, model_flag, unsup_flag, u_votes,
        CASE WHEN model_flag AND unsup_flag THEN 'both' WHEN model_flag THEN 'model'
             ELSE 'ensemble' END AS flagged_by
-FROM flagged {URGENCY} LIMIT 100"""
+FROM flagged {BOARD_ORDER} LIMIT 100"""
 
 
 NEWEST_THRESHOLD = "coalesce(nullif((SELECT threshold FROM registry ORDER BY version DESC LIMIT 1), 0), 0.85)"
@@ -152,7 +166,7 @@ DAY_BLOCK = "CAST(floor(epoch_us(ts) / 86400000000) AS BIGINT) AS block"
 
 
 def _latency(groups: str, where: str, scale: float, names: tuple[str, str]) -> str:
-    lat = "round((epoch_us(ingested_at) - epoch_us(ts)) / 1000)"
+    lat = "((epoch_us(ingested_at) - epoch_us(ts)) / 1000.0::DOUBLE)"
     lead = f"{groups} AS minute, " if groups else ""
     return f"""SELECT {lead}round(quantile_cont({lat}, 0.5) / {scale}, 9) AS {names[0]},
        round(quantile_cont({lat}, 0.95) / {scale}, 9) AS {names[1]}
@@ -272,13 +286,13 @@ def _drift() -> str:
         for f in C.FAMILIES
     )
     texts = ", ".join(
-        f"CASE WHEN pos_{f} >= 1 AND raw_{f} < 1.1 THEN printf('{f} (recall %.2f over %d live faults)', raw_{f}, pos_{f}) END"
+        f"CASE WHEN pos_{f} >= 1 AND raw_{f} < 1.1 THEN printf('{f} %.2f of %d faults', raw_{f}, pos_{f}) END"
         for f in C.FAMILIES
     )
     fires = " OR ".join(f"coalesce(pos_{f} >= 1 AND raw_{f} < 1.1, FALSE)" for f in C.FAMILIES)
     return f"""WITH c AS (SELECT {recalls} FROM (SELECT *, {NEWEST_THRESHOLD} AS thr FROM readings
     WHERE ts >= (SELECT max(ts) FROM readings) - INTERVAL 7 DAY) w)
-SELECT {fires} AS fire, 'drift detected: ' || concat_ws(', ', {texts}) AS reason,
+SELECT {fires} AS fire, 'recall too low: ' || concat_ws(', ', {texts}) AS reason,
        {", ".join(C.FAMILY_RECALLS)} FROM c"""
 
 
@@ -427,7 +441,7 @@ SELECT coil_id AS coil, CASE WHEN model_flag THEN predicted_fault ELSE 'unsuperv
             ELSE 'ensemble ' || u_votes || '/3' END AS flagged_by,
        CAST(round(CAST(confidence * 100 AS DECIMAL(30,12)), 1) AS DOUBLE) AS confidence_pct,
        worst_stand, first_stand AS first_flagged, stands_alarmed
-FROM flagged {URGENCY} LIMIT 50"""
+FROM flagged {BOARD_ORDER} LIMIT 50"""
     q["coils_flagged"] = f"WITH {_inspect('TRUE', '0.85')} SELECT * FROM flagged"
     q["inspect_sorted"] = f"""SELECT * FROM ({_inspect_list(MIDDLE, "0.85")}) i
 ORDER BY CASE WHEN model_flag THEN confidence END ASC NULLS LAST, coil_id"""

@@ -13,13 +13,13 @@ from ..functions.session import utc
 
 _SPARK = {
     "K": "get_json_object(props, '$.k')",
-    "LATER": "timestampadd(MILLISECOND, k * 10, ts)",
+    "LATER": "timestampadd(MICROSECOND, k * 10007, ts)",
     "DIV": "div",
     "PLAIN_TIME": "TIMESTAMP_NTZ",
 }
 _CHECK = {
     "K": "json_extract_string(props, '$.k')",
-    "LATER": "ts + to_milliseconds(k * 10)",
+    "LATER": "ts + to_microseconds(k * 10007)",
     "DIV": "//",
     "PLAIN_TIME": "TIMESTAMP",
 }
@@ -58,11 +58,11 @@ FROM [events]) base) feat) voted
 """
 
 _READINGS_BIG = """
-SELECT l_partkey * 100000 + l_suppkey AS reading_id, l_shipdate AS ts, l_orderkey AS coil_id,
-       l_linenumber AS stand, l_extendedprice AS force, l_quantity AS torque,
+SELECT (l_partkey * 100000 + l_suppkey) * 10 + l_linenumber AS reading_id, l_shipdate AS ts, l_orderkey AS coil_id,
+       CAST((l_linenumber - 1) % 5 + 1 AS INT) AS stand, l_extendedprice AS force, l_quantity AS torque,
        l_discount AS tension_in, l_tax AS tension_out, l_discount * 10 AS anomaly_score,
        l_returnflag = 'R' AS y_any
-FROM [lineitem] WHERE l_linenumber <= 5
+FROM [lineitem]
 """
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import contract as C
 from ..functions import columns as X
-from ..functions.session import ensure_checkpoint_dir, utc
+from ..functions.session import ensure_checkpoint_dir, materialised, utc
 from ..operators.rates import window_coils, window_totals
 from ..plans.registry import CurrentModel, make_folder
 from ..plans.scoring import Model, apply_model
@@ -19,6 +19,10 @@ from ..sources.wire import decode, keyed_only
 from . import state as S
 
 
+# A micro-batch starts as soon as the one before has ended.
+AT_ONCE = {"processingTime": "0 seconds"}
+
+
 @dataclass(frozen=True)
 class Stores:
     """Folders of one deployment, all below a path every executor reaches."""
@@ -53,19 +57,9 @@ class Stores:
         return f"{self.root}/checkpoints/{query}"
 
 
-def score(
-    events: DataFrame,
-    model: Model | None,
-    states: dict[int, dict],
-    signals=tuple(C.PROCESS_SIGNALS),
-    params: C.DetectorParams = C.DetectorParams(),
-) -> DataFrame:
-    """Decoded events → all score columns, each event scored once."""
-    out = apply_model(events.withColumn("y_any", X.any_label()), model)
-    out = out.withColumn("_detected", S.scorer(states, signals, params))
-    return out.select("*", "_detected.*").drop("_detected").withColumns(
-        {"u_votes": X.votes(), "u_anomaly": X.voted()}
-    )
+def score(events: DataFrame, model: Model | None) -> DataFrame:
+    """Decoded events → label and model scores, each event scored once."""
+    return apply_model(events.withColumn("y_any", X.any_label()), model)
 
 
 def store_batch(
@@ -74,20 +68,18 @@ def store_batch(
 ) -> None:
     """One micro-batch: score, append under its batch folder, advance the detectors.
 
-    Everything it writes is named by the batch and everything it reads is older, so a
-    replayed batch leaves the tables as they were.
+    Everything it writes is named by the batch, and the detector state it reads is older, so a
+    replayed batch overwrites what it wrote. It takes the newest model, which may be newer than
+    the one of the first attempt.
     """
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
-    states = S.load_states(spark, stores.detector_state, batch_id)
-    scored = score(keyed_only(events), current.refresh(), states, params=params).persist()
-    try:
-        append_batch(stamp(to_sink_schema(scored), batch_id), stores.events, batch_id)
-        after = S.updated_states(scored, states, C.PROCESS_SIGNALS, params)
-        if after:
-            S.save_states(spark, after, stores.detector_state, batch_id)
-    finally:
-        scored.unpersist()
+    signals = tuple(C.PROCESS_SIGNALS)
+    batch = materialised(score(keyed_only(events), current.refresh()).withColumn(S.ROW, F.monotonically_increasing_id()))
+    scores, after = S.advance(batch, S.state_before(spark, stores.detector_state, batch_id), signals, params)
+    scored = batch.join(scores, S.ROW).drop(S.ROW).withColumns({"u_votes": X.votes(), "u_anomaly": X.voted()})
+    append_batch(stamp(to_sink_schema(scored), batch_id), stores.events, batch_id)
+    S.save_state(after, stores.detector_state, batch_id)
 
 
 def start_scoring(
@@ -103,7 +95,7 @@ def start_scoring(
         decode(raw).writeStream.queryName("score_events")
         .option("checkpointLocation", stores.checkpoint("score_events"))
         .foreachBatch(lambda batch, n: store_batch(batch, n, stores, current, params))
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .trigger(**(trigger or AT_ONCE))
         .start()
     )
 
@@ -144,7 +136,7 @@ def start_kpis(
         .writeStream.queryName("kpi_windows").outputMode("append")
         .option("checkpointLocation", stores.checkpoint("kpi_windows"))
         .foreachBatch(lambda batch, n: append_batch(batch, stores.kpis, n, by_day=False))
-        .trigger(**(trigger or {"processingTime": "10 seconds"}))
+        .trigger(**(trigger or AT_ONCE))
         .start()
     )
 

@@ -1,155 +1,115 @@
-"""Detector state of a running stream: one row per stand, kept per micro-batch.
+"""Detector state of a running stream: a small table per micro-batch, one row per stand.
 
-The state of a stand is small and fixed in size (10 means, a 10 × 10 covariance, at most 300
-reference rows, two numbers for the distances), so it travels to the tasks with the scoring
-function. Events are scored with the state before their micro-batch; the batch then updates
-it from aggregates, never from the events themselves on the driver.
+A state row holds the moments that the batch detectors carry from block to block, about the
+stand's first mean, the reference rows and the two distance moments. A micro-batch is one block:
+it joins the state of the newest batch before it, is scored where the rows are, and the state
+moves on by aggregation and the same closed form. Nothing of it passes through the driver.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import contract as C
-from ..functions import columns as X
-from ..operators.detectors import _full, block_stats, score_matrix
+from ..functions.session import materialised, small_side
+from ..operators.detectors import (
+    NARROW_ROWS, _remaining, _with_ridge_on_first, block_stats, score_rows, tail_rows, watched,
+)
 from ..plans.registry import numbered_folders
 
-# Far above any plant; a larger number means the stand column holds something else.
-MAX_STANDS = 1_000
-
 STATE_SCHEMA = (
-    "stand int, n long, mean array<double>, cov array<double>, "
-    "buffer array<array<double>>, d_mean double, d_var double"
+    "stand int, n_seen long, pivot array<double>, moments array<double>, "
+    "reference array<array<double>>, distance_moments array<double>"
 )
-SCORES = "u_maha double, u_spc double, u_knn double, distance double"
+# Of older states this many stay readable, so that replayed batches find theirs.
+KEPT_STATES = 10
+ROW = "_row"
 
 
-def blank(count: int) -> dict:
-    return {
-        "n": 0, "mean": np.zeros(count), "cov": np.eye(count),
-        "buffer": np.empty((0, count)), "d_mean": 0.0, "d_var": 1.0,
-    }
-
-
-def load_states(spark: SparkSession, path: str, batch_id: int) -> dict[int, dict]:
-    """States written by the newest batch before this one, so a replay sees the same."""
+def state_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The state that the newest batch before this one left; without rows at the start."""
     earlier = [b for b in numbered_folders(spark, path, "batch_id") if b < batch_id]
     if not earlier:
-        return {}
-    stored = spark.read.schema(STATE_SCHEMA).parquet(f"{path}/batch_id={earlier[-1]}")
-    if stored.count() > MAX_STANDS:
-        raise ValueError("more stands than a line can have")
-    states = {}
-    for row in stored.collect():
-        count = len(row["mean"])
-        states[row["stand"]] = {
-            "n": row["n"], "mean": np.array(row["mean"]),
-            "cov": np.array(row["cov"]).reshape(count, count),
-            "buffer": np.array(row["buffer"]).reshape(-1, count),
-            "d_mean": row["d_mean"], "d_var": row["d_var"],
-        }
-    return states
-
-
-def save_states(spark: SparkSession, states: dict[int, dict], path: str, batch_id: int) -> None:
-    rows = [
-        (
-            int(stand), int(s["n"]), s["mean"].tolist(), s["cov"].ravel().tolist(),
-            s["buffer"].tolist(), float(s["d_mean"]), float(s["d_var"]),
-        )
-        for stand, s in states.items()
-    ]
-    frame = spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1)
-    frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-def scorer(states: dict[int, dict], signals, params: C.DetectorParams = C.DetectorParams()):
-    """Vectorised function (stand, signals…) → struct of detector scores."""
-    settings = asdict(params)
-
-    @F.pandas_udf(SCORES)
-    def score(stand: pd.Series, *values: pd.Series) -> pd.DataFrame:
-        setup = C.DetectorParams(**settings)
-        x = np.column_stack([v.to_numpy("float64") for v in values])
-        out = np.zeros((len(stand), 4))
-        which = stand.to_numpy()
-        for s in np.unique(which):
-            held = states.get(int(s))
-            if held is None or held["n"] < setup.warmup:
-                continue
-            mine = which == s
-            maha, spc, near = score_matrix(x[mine], held["mean"], held["cov"], held["buffer"], setup)
-            sd = np.sqrt(max(held["d_var"], setup.distance_floor))
-            out[mine] = np.column_stack([maha, spc, (near - held["d_mean"]) / sd, near])
-        return pd.DataFrame(out, columns=["u_maha", "u_spc", "u_knn", "distance"])
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(f"{path}/batch_id={earlier[-1]}")
 
-    return score("stand", *[X.finite_or_zero(F.col(s)) for s in signals])
 
+def save_state(state: DataFrame, path: str, batch_id: int) -> None:
+    """Write the state of a batch and remove what lies more than KEPT_STATES batches back."""
+    spark = state.sparkSession
+    state.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    kept = numbered_folders(spark, path, "batch_id")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for old in [b for b in kept if b < batch_id][:-KEPT_STATES]:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={old}")
+        folder.getFileSystem(conf).delete(folder, True)
 
-def _advance(mean, cov, block_mean, within, beta):
-    gap = block_mean - mean
-    spread = (1 - beta) * cov + beta * within + beta * (1 - beta) * np.outer(gap, gap)
-    return mean + beta * gap, spread
 
+def advance(
+    events: DataFrame, state: DataFrame, signals, params: C.DetectorParams = C.DetectorParams()
+) -> tuple[DataFrame, DataFrame]:
+    """Score one micro-batch and move the state on: (`_row` with scores, new state).
 
-def updated_states(
-    scored: DataFrame, states: dict[int, dict], signals, params: C.DetectorParams = C.DetectorParams()
-) -> dict[int, dict]:
-    """States after a (persisted) micro-batch that carries `distance`.
-
-    Spark reduces the batch to one row of moments and at most 300 newest rows per stand.
+    `events` is a stored batch whose rows are numbered in `_row`. Stands are whatever the rows
+    hold; a stand without rows keeps its state.
     """
-    count = len(signals)
-    rows = scored.select(
-        "stand", F.lit(0).alias("block"), "ts", "coil_id", "distance",
-        *[F.expr(f"{X.usable(s)} AS `{s}`") for s in signals],
+    rows = watched(
+        events.withColumns({"block": F.lit(0), "reading_id": F.col(ROW)}), signals,
+        "stand", "block", "ts", "reading_id", "coil_id",
     )
-    stats = block_stats(rows, signals).limit(MAX_STANDS).collect()
-    distances = {
-        r["stand"]: r
-        for r in rows.groupBy("stand")
-        .agg(F.avg("distance").alias("mean"), F.var_pop("distance").alias("var"))
-        .limit(MAX_STANDS)
-        .collect()
-    }
-    newest = W.partitionBy("stand").orderBy(
-        F.desc("ts"), F.desc("coil_id"), *[F.desc(s) for s in signals]
+    state = state.withColumnsRenamed({"pivot": "old_pivot", "moments": "old_moments"})
+    averages = F.array(*[F.avg(s) for s in signals])
+    pivot = rows.groupBy("stand").agg(averages.alias("own")).join(state, "stand", "left").select(
+        "stand", F.coalesce("old_pivot", "own").alias("pivot")
     )
-    tails: dict[int, list] = {}
-    tail = rows.withColumn("back", F.row_number().over(newest)).where(F.col("back") <= params.buffer)
-    for r in tail.select("stand", "back", F.array(*signals).alias("x")).collect():
-        tails.setdefault(r["stand"], []).append((r["back"], r["x"]))
-    after = dict(states)
-    for r in stats:
-        stand, m = r["stand"], r["n"]
-        old = states.get(stand) or blank(count)
-        shift = np.array(r["moments"][:count])
-        within = _full(np.array(r["moments"][count:]), count) - np.outer(shift, shift)
-        block_mean = shift + np.array(r["pivot"])
-        beta = 1.0 - (1.0 - params.alpha) ** m
-        if old["n"] == 0:
-            mean, cov = block_mean, within + params.ridge * np.eye(count)
-        else:
-            mean, cov = _advance(old["mean"], old["cov"], block_mean, within, beta)
-        d_mean, d_var = old["d_mean"], old["d_var"]
-        if old["n"] >= params.warmup:
-            seen = distances[stand]
-            gap = seen["mean"] - d_mean
-            d_var = (1 - beta) * d_var + beta * seen["var"] + beta * (1 - beta) * gap**2
-            d_mean += beta * gap
-        last = np.array([x for _, x in sorted(tails[stand], reverse=True)])
-        z = (last - mean) / np.sqrt(np.maximum(np.diag(cov), params.variance_floor))
-        after[stand] = {
-            "n": old["n"] + m, "mean": mean, "cov": cov,
-            "buffer": np.vstack([old["buffer"], z])[-params.buffer :],
-            "d_mean": d_mean, "d_var": d_var,
-        }
-    return after
-
+    stats = block_stats(rows, signals, small_side(pivot))
+    joined = stats.join(state.select("stand", "n_seen", "old_moments", "reference"), "stand", "left")
+    fresh = F.col("old_moments").isNull()
+    # The ridge belongs to a stand's first block only; `_first` is read where there is no state.
+    first = _with_ridge_on_first(joined, signals, params).select("stand", F.col("moments").alias("_first"))
+    mixed = F.zip_with(
+        "old_moments", "moments",
+        lambda old, new: old + (1 - _remaining(params.alpha, F.col("n"))) * (new - old),
+    )
+    states = materialised(
+        joined.join(first, "stand").select(
+            "stand", "block", "n", "pivot", F.coalesce("n_seen", F.lit(0)).alias("n_before"),
+            F.col("old_moments").alias("before"), "reference",
+            F.when(fresh, F.col("_first")).otherwise(mixed).alias("after"),
+        )
+    )
+    refs = states.select("stand", "block", F.explode("reference").alias("z"))
+    scored = materialised(score_rows(rows, states.drop("reference"), refs, signals, ["reading_id"], params))
+    start = F.array(F.lit(0.0), F.lit(1.0))
+    held = small_side(
+        state.select("stand", F.coalesce("distance_moments", start).alias("d")), NARROW_ROWS
+    )
+    spread = F.sqrt(F.greatest(F.col("d")[1] - F.col("d")[0] * F.col("d")[0], F.lit(params.distance_floor)))
+    scores = scored.join(held, "stand", "left").select(
+        F.col("reading_id").alias(ROW), "u_maha", "u_spc",
+        F.coalesce((F.col("distance") - F.col("d")[0]) / spread, F.lit(0.0)).alias("u_knn"),
+    )
+    distances = scored.groupBy("stand").agg(
+        F.count("distance").alias("n_near"), F.avg("distance").alias("first"),
+        F.avg(F.col("distance") * F.col("distance")).alias("second"),
+    )
+    tails = tail_rows(rows, states, signals, params).groupBy("stand").agg(
+        F.sort_array(F.collect_list(F.struct("position", "z"))).alias("tail")
+    )
+    near_share = 1 - _remaining(params.alpha, F.col("n_near"))
+    d = F.coalesce("distance_moments", start)
+    moved = F.array(*[d[k] + near_share * (F.col(name) - d[k]) for k, name in enumerate(("first", "second"))])
+    none = F.array().cast("array<array<double>>")
+    together = F.concat(F.coalesce("reference", none), F.expr("transform(tail, t -> t.z)"))
+    after = (
+        states.join(tails, "stand").join(distances, "stand").join(state.select("stand", "distance_moments"), "stand", "left")
+        .select(
+            "stand", (F.col("n_before") + F.col("n")).alias("n_seen"), "pivot", F.col("after").alias("moments"),
+            F.slice(together, F.greatest(F.size(together) - params.buffer + 1, F.lit(1)), params.buffer).alias("reference"),
+            F.when(F.col("n_near") > 0, moved).otherwise(d).alias("distance_moments"),
+        )
+    )
+    idle = state.withColumnsRenamed({"old_pivot": "pivot", "old_moments": "moments"})
+    idle = idle.join(states.select("stand"), "stand", "left_anti")
+    return scores, after.unionByName(idle)

@@ -208,14 +208,14 @@ def drift_case(spark, positives, caught, trained_ago=3600, now_after=5, versions
 @pytest.mark.parametrize(
     "kwargs, fire, reason",
     [
-        (dict(positives=9, caught=0, versions=False), False, "no model yet"),
-        (dict(positives=0, caught=0, events=False), False, "no streamed events yet"),
-        (dict(positives=300, caught=0, now_after=61), False, "stream idle for 61s"),
+        (dict(positives=9, caught=0, versions=False), False, "nothing published so far"),
+        (dict(positives=0, caught=0, events=False), False, "no event stored so far"),
+        (dict(positives=300, caught=0, now_after=61), False, "last event 61 s ago"),
         (dict(positives=300, caught=0, trained_ago=179), False, "current model is only 179s old"),
-        (dict(positives=199, caught=97), False, "live recall healthy: electric 0.487"),
-        (dict(positives=200, caught=98), True, "drift detected: electric (recall 0.49 over 200 live faults)"),
-        (dict(positives=200, caught=100), False, "live recall healthy: electric 0.5"),
-        (dict(positives=0, caught=0), False, "live recall healthy: no labelled faults in window"),
+        (dict(positives=199, caught=97), False, "recall in order: electric 0.487"),
+        (dict(positives=200, caught=98), True, "recall too low: electric 0.49 of 200 faults"),
+        (dict(positives=200, caught=100), False, "recall in order: electric 0.5"),
+        (dict(positives=0, caught=0), False, "recall in order: no confirmed fault to judge by"),
     ],
 )
 def test_drift_guards(spark, kwargs, fire, reason):
