@@ -34,6 +34,7 @@ WIDE_LABELS = {
     "workroll": "Anomaly_WorkRoll_{stand}",
     "reduction": "Anomaly_Reduction",
 }
+# What counts as true in label columns.
 TRUE_WORDS = ["true", "1", "t", "yes"]
 
 COIL_STRIDE = 1_000_000

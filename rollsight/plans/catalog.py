@@ -101,9 +101,9 @@ def unfold_per_stand(wide):
 
 @query("coil_wide")
 def unfold_ordered(wide):
-    """Source order, then stand."""
-    ordered = wide.withColumn("shuffle_key", K.shuffle_key())
-    return K.unfold(ordered, "shuffle_key").orderBy("shuffle_key", "stand").select(
+    """Source order, then stand: the wide rows are sorted and unfolding keeps their order."""
+    ordered = wide.withColumn("shuffle_key", K.shuffle_key()).orderBy("shuffle_key")
+    return K.unfold(ordered, "shuffle_key").select(
         "shuffle_key", "coil_id", "stand", "force", "tension_in", "tension_out"
     )
 

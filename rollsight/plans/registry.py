@@ -85,13 +85,14 @@ def load_model(spark: SparkSession, root: str, version: int) -> Model:
 
 class CurrentModel:
     """The model a running job scores with. `refresh` once per micro-batch: every row of a
-    batch then carries one version. A version that cannot be used is skipped once and the
-    model in use stays."""
+    batch then carries one version. A version of another contract is skipped for good, one that
+    cannot be read is tried again the next time; the model in use stays meanwhile."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.model: Model | None = None
-        self.rejected: dict[int, str] = {}
+        self.rejected: dict[int, str] = {}  # versions of another contract, never tried again
+        self.unread: dict[int, str] = {}  # versions that could not be read, tried at each refresh
 
     def refresh(self) -> Model | None:
         visible = numbered_folders(self.spark, self.root, "version", "ready")
@@ -99,7 +100,10 @@ class CurrentModel:
         for version in reversed([v for v in visible if v > current and v not in self.rejected]):
             try:
                 self.model = load_model(self.spark, self.root, version)
+                self.unread.pop(version, None)
                 break
-            except Exception as problem:  # a damaged or foreign artifact must not stop the job
+            except C.ContractError as problem:
                 self.rejected[version] = str(problem)
+            except Exception as problem:  # an artifact that cannot be read now must not stop the job
+                self.unread[version] = str(problem)
         return self.model

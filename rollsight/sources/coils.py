@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions.columns import is_true
+from ..functions.session import small_side
 
 _FILE_NUMBER = r"_(\d+)\.[a-z]+$"
 
@@ -52,7 +53,7 @@ def read_coil_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
     earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     offsets = blocks.withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     return (
-        raw.join(offsets.drop("rows"), ["file", "start"])
+        raw.join(small_side(offsets.drop("rows")), ["file", "start"])
         .withColumn("row_index", F.col("scan_no") - F.col("first_no") + F.col("offset"))
         .withColumn("file_no", F.regexp_extract("file", _FILE_NUMBER, 1).cast("int"))
         .drop("file", "start", "scan_no", "first_no", "offset")

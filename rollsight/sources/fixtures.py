@@ -58,7 +58,7 @@ FROM [events]) base) feat) voted
 """
 
 _READINGS_BIG = """
-SELECT (l_partkey * 100000 + l_suppkey) * 10 + l_linenumber AS reading_id, l_shipdate AS ts, l_orderkey AS coil_id,
+SELECT (l_partkey * 100000 + l_suppkey) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS reading_id, l_shipdate AS ts, l_orderkey AS coil_id,
        CAST((l_linenumber - 1) % 5 + 1 AS INT) AS stand, l_extendedprice AS force, l_quantity AS torque,
        l_discount AS tension_in, l_tax AS tension_out, l_discount * 10 AS anomaly_score,
        l_returnflag = 'R' AS y_any
