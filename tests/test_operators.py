@@ -211,7 +211,7 @@ def drift_case(spark, positives, caught, trained_ago=3600, now_after=5, versions
         (dict(positives=9, caught=0, versions=False), False, "nothing published so far"),
         (dict(positives=0, caught=0, events=False), False, "no event stored so far"),
         (dict(positives=300, caught=0, now_after=61), False, "last event 61 s ago"),
-        (dict(positives=300, caught=0, trained_ago=179), False, "current model is only 179s old"),
+        (dict(positives=300, caught=0, trained_ago=179), False, "newest version published 179 s ago"),
         (dict(positives=199, caught=97), False, "recall in order: electric 0.487"),
         (dict(positives=200, caught=98), True, "recall too low: electric 0.49 of 200 faults"),
         (dict(positives=200, caught=100), False, "recall in order: electric 0.5"),
@@ -275,3 +275,16 @@ def test_swap_phases(spark):
     frame = spark.createDataFrame(rows, "snapshot_at timestamp_ntz, live_version int, latest_version int")
     phases = [r["phase"] for r in R.swap_phases(frame).orderBy("snapshot_at").collect()]
     assert phases == ["sync", "swap", "flash", "swap", "flash", "sync"]
+
+
+def test_roll_campaigns_keep_rows_without_mileage(spark):
+    rows = [(1, T0 + dt.timedelta(seconds=k), k, m, 1.0) for k, m in enumerate([5.0, 6.0, None, 1.0, 2.0, 1.0])]
+    frame = spark.createDataFrame(rows, "stand int, ts timestamp, reading_id long, work_roll_mileage double, force double")
+    got = {r["reading_id"]: (r["roll_change"], r["campaign"]) for r in P.roll_campaigns(frame).collect()}
+    assert got == {0: (False, 0), 1: (False, 0), 2: (False, 0), 3: (False, 0), 4: (False, 0), 5: (True, 1)}
+
+
+def test_latency_below_a_millisecond(spark):
+    rows = [(T0, T0 + dt.timedelta(microseconds=us)) for us in (400, 1400)]
+    row = A.latency_per_minute(spark.createDataFrame(rows, "ts timestamp, ingested_at timestamp")).first()
+    assert row["p50"] == pytest.approx(0.0009)
