@@ -9,7 +9,7 @@ has the other in its upward ball, so each pair is met once per half.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -180,14 +180,17 @@ def hex_digits(fp: Column | str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def first_of_each(docs: DataFrame) -> DataFrame:
+def first_of_each(docs: DataFrame, grouped: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
     """The documents without all but the smallest id of each near-duplicate component.
 
+    `grouped` gives the components: `near_duplicates`, or another function with its columns.
     All columns are kept. Rows without an id cannot be chosen between and stay. Of repeated rows
     with equal id and text one stays; rows of the chosen id with other texts stay.
     """
     content = F.xxhash64("text")
-    groups = materialised(near_duplicates(docs, also=(content.alias("content"),)).drop("fp"))
+    groups = materialised(
+        grouped(docs, also=(content.alias("content"),)).select("doc_id", "content", "component_id")
+    )
     lost = groups.where("doc_id <> component_id").select("doc_id", "content").distinct()
     lost = lost.toDF("lost_id", "lost_content")
     kept = docs.join(
