@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.session import scratch_folder
 from . import (
-    bin_completion, decontaminate, fingerprints, langid, line_chunks, masked_lm, packed_ids, simhash_index,
-    toxicity, url_rules,
+    bin_completion, conversation_repair, decontaminate, fill_middle, fingerprints, langid, line_chunks, masked_lm,
+    packed_ids, rendezvous, simhash_index, toxicity, url_rules,
 )
 from .common import remainder, table
 
 TOKENIZER = "byte_bpe_50k.json"
 QUERIES: dict = {}
-CHECKS: dict[str, str] = {"op5_line_chunks": line_chunks.CHECK}
+CHECKS: dict[str, str] = {
+    "op5_line_chunks": line_chunks.CHECK,
+    "op11_fill_middle": fill_middle.CHECK,
+    "op12_conversation_repair": conversation_repair.CHECK,
+    "op13_rendezvous_shards": rendezvous.CHECK,
+}
+SHARDS = 16
 
 
 def query(function):
@@ -121,6 +127,34 @@ def op10_minhash_fingerprints(spark, sf_dir) -> DataFrame:
     )
 
 
+@query
+def op11_fill_middle(spark, sf_dir) -> DataFrame:
+    """Fill-in-middle form of every document, with digests of its output and of the text rebuilt from it."""
+    return fill_middle.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir) -> DataFrame:
+    """Every conversation after damage: its faults and its cheapest repair."""
+    damaged = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.summaries(damaged)
+
+
+@query
+def op13_rendezvous_shards(spark, sf_dir) -> DataFrame:
+    """Shard and slot of every document, and its shard with one shard more."""
+    weights = dict.fromkeys(range(SHARDS), 1.0)
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("key").alias("law"),
+        rendezvous.shard_of(F.col("doc_id"), {**weights, SHARDS: 1.0}).alias("grown_shard"),
+    )
+    folder = scratch_folder(spark, "shards")
+    return rendezvous.write_shards(rows, folder, weights, ties=("size", "text_crc32")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 CHECKS["op8_url_rules"] = f"""
