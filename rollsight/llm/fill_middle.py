@@ -28,6 +28,8 @@ ORIGINAL = ("prefix", "middle", "suffix")
 PLAIN_PERCENT = 10
 SPM_PERCENT = 20
 CHUNK_UNITS = 16_384
+# Text that a partition of the sort holds on average, at most.
+PARTITION_BYTES = 64 << 20
 # Chunks of a part are numbered below this; the head of a document stands before all parts.
 PART = 1 << 40
 HEAD = -1
@@ -92,11 +94,12 @@ def assembled(docs: DataFrame, units: int = CHUNK_UNITS) -> RDD:
     """((row, place), head or chunk), every document's chunks together and in the output's order.
 
     `row` numbers the rows in scan order, so repeated and null ids keep rows of their own; `docs`
-    should read stored files, whose scan a lost executor repeats alike. There are as many
-    partitions as the scan has or shuffles have, whichever is more.
+    should read stored files, whose scan a lost executor repeats alike. The number of partitions
+    grows with the bytes of all texts, which are summed first.
     """
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    width = max(shuffle_width(docs.sparkSession), -(-held // PARTITION_BYTES))
     rows = planned(docs).select(F.monotonically_increasing_id().alias("row"), "*").rdd
-    width = max(shuffle_width(docs.sparkSession), rows.getNumPartitions())
     return rows.mapPartitions(_pieces(units)).repartitionAndSortWithinPartitions(width, _of_row)
 
 
