@@ -7,6 +7,7 @@ rounds averages whose last digits depend on summation order.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,9 @@ from ..sources import coils as K
 from ..sources import fixtures as V
 from ..sources import tables as T
 from ..sources import wire as J
-from ..functions.session import scratch_folder
+from ..functions.session import materialised, scratch_folder
 from ..streaming import jobs as B
+from . import policy as Q
 from . import registry as G
 from . import training as M
 from .scoring import apply_model
@@ -542,6 +544,34 @@ def drift_decision(readings, registry):
     return R.drift_decision(readings, registry, policy, NOW)
 
 
+@query("readings_dense registry")
+def policy_log(readings, registry):
+    """The policy's log after checks that meet each of its guards in turn, with its own parameters.
+
+    The readings are those of a stream whose last three minutes hold all of them.
+    """
+    spark = readings.sparkSession
+    readings, registry = materialised(readings.select("ts", "anomaly_score", *C.LABELS)), materialised(registry)
+    anchor = readings.agg(F.max("ts")).first()[0]
+    path = scratch_folder(spark, "policy")
+
+    def model(threshold, age_s):
+        moment = F.lit(anchor - dt.timedelta(seconds=age_s)).cast("timestamp_ntz")
+        return registry.where("version = 1").withColumns({"threshold": F.lit(threshold), "trained_at": moment})
+
+    steady, poor = model(0.5, 1000), model(0.99, 1000)
+    checks = [
+        (20, readings, steady, C.DriftPolicy(enabled=False)), (20, readings, registry.limit(0), C.DriftPolicy()),
+        (20, readings.limit(0), steady, C.DriftPolicy()), (75, readings, steady, C.DriftPolicy()),
+        (20, readings, model(0.5, 100), C.DriftPolicy()), (30, readings, steady, C.DriftPolicy()),
+        (5, readings, poor, C.DriftPolicy()), (45, readings, poor, C.DriftPolicy()),
+    ]
+    for after_s, events, versions, policy in checks:
+        now = anchor + dt.timedelta(seconds=after_s)
+        Q.check(events, versions, path, lambda: {"version": 2}, policy, now)
+    return Q.read_log(spark, path)
+
+
 # --- evaluation and splits ----------------------------------------------------------------
 
 

@@ -296,6 +296,31 @@ SELECT {fires} AS fire, 'recall too low: ' || concat_ws(', ', {texts}) AS reason
        {", ".join(C.FAMILY_RECALLS)} FROM c"""
 
 
+def _policy_log() -> str:
+    counts = ", ".join(
+        f"""count(*) FILTER (WHERE y_{f}) AS pos_{f},
+        CAST(count(*) FILTER (WHERE y_{f} AND anomaly_score >= threshold) AS DOUBLE) / nullif(count(*) FILTER (WHERE y_{f}), 0) AS raw_{f}"""
+        for f in C.FAMILIES
+    )
+    recalls = ", ".join(f"round(raw_{f}, 3) AS recall_{f}" for f in C.FAMILIES)
+    healthy = ", ".join(f"'{f} ' || CAST(round(raw_{f}, 3) AS VARCHAR)" for f in C.FAMILIES)
+    low = {f: f"coalesce(pos_{f} >= 200 AND raw_{f} < 0.5, FALSE)" for f in C.FAMILIES}
+    named = ", ".join(f"CASE WHEN {low[f]} THEN printf('{f} %.2f of %d faults', raw_{f}, pos_{f}) END" for f in C.FAMILIES)
+    return f"""WITH k(check_no, after_s, guard, threshold, events) AS (VALUES
+  (0, 20, 'off by configuration', 0.5::DOUBLE, TRUE), (1, 20, 'nothing published so far', NULL, TRUE),
+  (2, 20, 'no event stored so far', 0.5, FALSE), (3, 75, 'last event 75 s ago', 0.5, TRUE),
+  (4, 20, 'newest version published 120 s ago', 0.5, TRUE), (5, 30, NULL, 0.5, TRUE), (6, 5, NULL, 0.99, TRUE),
+  (7, 45, NULL, 0.99, TRUE)),
+c AS (SELECT check_no, after_s, guard, {counts} FROM k LEFT JOIN readings_dense ON events GROUP BY check_no, after_s, guard),
+d AS (SELECT *, (SELECT max(ts) FROM readings_dense) AS anchor, guard IS NULL AND ({" OR ".join(low.values())}) AS drifted,
+  coalesce(guard, CASE WHEN {" OR ".join(low.values())} THEN 'recall too low: ' || concat_ws(', ', {named})
+    ELSE 'recall in order: ' || concat_ws(', ', {healthy}) END) AS why FROM c)
+SELECT CAST(check_no AS BIGINT) AS check_no, anchor + to_seconds(after_s) AS checked_at, drifted, check_no = 6 AS fired,
+  why || CASE check_no WHEN 6 THEN '; trained version 2' WHEN 7 THEN '; trained for it 40 s ago' ELSE '' END AS reason,
+  CAST(check_no >= 6 AS BIGINT) AS fires, CASE WHEN check_no >= 6 THEN anchor + to_seconds(5) END AS last_fired,
+  CASE WHEN check_no = 6 THEN 2 END AS version, {recalls} FROM d"""
+
+
 def _medians(source: str, measures) -> str:
     picked = ", ".join(f"round(quantile_cont({m}, 0.5), 6) AS median_{m}" for m in measures)
     return f"SELECT stand, {picked} FROM {source} GROUP BY 1"
@@ -483,6 +508,7 @@ SELECT snapshot_at, live_version, latest_version, CASE WHEN latest_version > liv
         "ts >= (SELECT max(ts) FROM readings) - INTERVAL 7 DAY", NEWEST_THRESHOLD
     )
     q["drift_decision"] = _drift()
+    q["policy_log"] = _policy_log()
     q["tune_threshold"] = """WITH g AS (SELECT round(i * 0.05, 2)::DOUBLE AS threshold FROM range(1, 20) r(i)),
 s AS (SELECT threshold, count(*) FILTER (WHERE y_any AND anomaly_score >= threshold) AS tp,
    count(*) FILTER (WHERE NOT y_any AND anomaly_score >= threshold) AS fp,
@@ -536,7 +562,7 @@ WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
     return q
 
 
-_VIEW_NEEDS = {"registry": ["readings", "registry"]}
+_VIEW_NEEDS = {"registry": ["readings", "registry"], "readings_dense": ["readings", "readings_dense"]}
 
 
 def _with_views(text: str, views: dict[str, str]) -> str:

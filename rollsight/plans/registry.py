@@ -8,6 +8,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import contract as C
+from ..sources import markers as K
 from ..sources.tables import append_batch, read_batches, upserted
 from .scoring import Model
 
@@ -54,10 +55,23 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register(row: DataFrame, path: str) -> None:
-    """Insert or update a version: the row goes under a new batch, readers take the last."""
+    """Insert or update a version: the row goes under a new batch, readers take the last.
+
+    The batch number is claimed, so registrations at the same time never write to one folder.
+    """
     spark = row.sparkSession
     used = numbered_folders(spark, path, "batch_id")
-    append_batch(row, path, used[-1] + 1 if used else 0, by_day=False)
+    number = K.claim_number(spark, f"{path}/_claims", "batch", used[-1] + 1 if used else 0)
+    append_batch(row, path, number, by_day=False)
+
+
+def claim_version(spark: SparkSession, path: str) -> int:
+    """The next free version, now belonging to the caller; two trainings never get the same one.
+
+    A training that fails leaves its number unused.
+    """
+    newest = read_registry(spark, path).agg({"version": "max"}).first()[0] or 0
+    return K.claim_number(spark, f"{path}/_claims", "version", newest + 1)
 
 
 def save_model(spark: SparkSession, model: Model, root: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -15,6 +16,7 @@ from ..functions.session import materialised
 from ..operators import evaluation as E
 from ..operators import latest as L
 from ..operators import splits as S
+from ..sources import markers as K
 from . import registry as R
 from .scoring import Model, apply_model, with_features
 
@@ -42,21 +44,55 @@ def training_rows(scored: DataFrame) -> DataFrame:
     )
 
 
+HOLDOUT_COLUMNS = ["coil_id", *C.FEATURES, *C.LABELS, "y_any"]
+
+
+def contract_stamp() -> str:
+    return json.dumps({"features": C.FEATURES, "labels": C.FAMILIES})
+
+
+def frozen_holdout(spark: SparkSession, path: str) -> DataFrame | None:
+    """The pinned held-out rows; None before the freeze and after a change of the contract."""
+    text = K.text_of(spark, f"{path}/manifest")
+    if not text:
+        return None
+    manifest = json.loads(text)
+    if manifest["contract"] != contract_stamp():
+        return None
+    return spark.read.parquet(f"{path}/{manifest['folder']}")
+
+
 def carve_holdout(spark: SparkSession, rows: DataFrame, path: str) -> tuple[DataFrame, bool]:
-    """(held-out coils, frozen?). Frozen once all families are covered; until then each
-    training carves its own. A set frozen under another contract is carved again."""
-    stamp = json.dumps({"features": C.FEATURES, "labels": C.FAMILIES})
-    if R.exists(spark, f"{path}/meta") and R.read_text(spark, f"{path}/meta") == stamp:
-        return spark.read.parquet(f"{path}/coils"), True
+    """(held-out rows, frozen?). Frozen once all families are covered; until then each training
+    carves its own. A set frozen under another contract is carved again.
+
+    What is frozen are the rows with their values, so evaluations stay comparable when events
+    expire, arrive again or are corrected. The manifest names the folder of rows and goes live by
+    one rename; of several trainings that freeze at once one does it, the others keep their own
+    set for this time.
+    """
+    pinned = frozen_holdout(spark, path)
+    if pinned is not None:
+        return pinned, True
+    earlier = json.loads(K.text_of(spark, f"{path}/manifest") or "{}").get("folder", "none")
     coverage = S.family_coverage(rows).first()
     if not S.can_carve(coverage):
         raise NotEnoughData(f"{coverage['coils']} coils are too few for a held-out set")
-    coils = materialised(S.holdout_coils(rows).select("coil_id"))
+    coils = S.holdout_coils(rows).select("coil_id")
+    held = S.rows_of(rows, coils).select(*[name for name in HOLDOUT_COLUMNS])
     if not S.can_freeze(coverage):
-        return coils, False
-    coils.write.mode("overwrite").parquet(f"{path}/coils")
-    R.write_text(spark, f"{path}/meta", stamp)
-    return spark.read.parquet(f"{path}/coils"), True
+        return materialised(held), False
+    folder = f"rows-{uuid.uuid4().hex}"
+    held.write.parquet(f"{path}/{folder}")
+    stored = spark.read.parquet(f"{path}/{folder}")
+    counted = stored.agg(F.count(F.lit(1)), F.count_distinct("coil_id")).first()
+    # The first to claim the place after the set before publishes its rows.
+    if not K.create_once(spark, f"{path}/_claims/after={earlier}"):
+        return stored, False
+    K.swap_text(spark, f"{path}/manifest", json.dumps({
+        "folder": folder, "contract": contract_stamp(), "rows": counted[0], "coils": counted[1],
+    }))
+    return stored, True
 
 
 def fit(rows: DataFrame, params: BoostParams = BoostParams()) -> tuple[dict, dict]:
@@ -93,16 +129,17 @@ def retrain(
     params: BoostParams = BoostParams(),
     now: dt.datetime | None = None,
 ) -> dict:
-    """Train, tune on validation coils, evaluate on held-out coils, publish the version.
+    """Train, tune on validation coils, evaluate on held-out rows, publish the version.
 
-    Only counts, metrics and the trees reach the driver. The registry row is written before
+    The version number is claimed before publication, so trainings at the same time publish under
+    numbers of their own. Only counts, metrics and the trees reach the driver. The registry row is written before
     the model becomes visible.
     """
     spark = scored.sparkSession
     rows = materialised(training_rows(scored))
     C.check_contract(rows)
     holdout, frozen = carve_holdout(spark, rows, holdout_path)
-    usable = materialised(S.rows_without(rows, holdout))
+    usable = materialised(S.rows_without(rows, holdout.select("coil_id").distinct()))
     n_rows, n_coils = usable.agg(F.count(F.lit(1)), F.count_distinct("coil_id")).first()
     if n_rows < C.MIN_TRAIN_ROWS:
         raise NotEnoughData(f"{n_rows} rows are too few to train on")
@@ -111,15 +148,12 @@ def retrain(
     n_train = train.count()
     classifiers, positives = fit(train, params)
 
-    version = next_version(spark, registry_path)
+    version = R.claim_version(spark, registry_path)
     moment = (now or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None)
     model = Model(version, classifiers, trained_at=moment.isoformat(), trained_on=f"streamed {n_coils} coils")
     tuned = apply_model(S.rows_of(usable, validation), model).select("anomaly_score", "y_any")
     model.threshold = E.tune_threshold(tuned).first()["threshold"]
-    held = E.stored(
-        apply_model(S.rows_of(rows, holdout), model).select("anomaly_score", "y_any", *C.LABELS)
-    )
-    model.metrics = E.evaluate(held, model.threshold).first().asDict()
+    model.metrics = evaluated(holdout, model)
     R.register(registry_row(spark, model, n_train, moment), registry_path)
     R.save_model(spark, model, models_path)
     return {
@@ -129,6 +163,12 @@ def retrain(
     }
 
 
+def evaluated(holdout: DataFrame, model: Model) -> dict:
+    """Metrics of a model on held-out rows."""
+    held = E.stored(apply_model(holdout, model).select("anomaly_score", "y_any", *C.LABELS))
+    return E.evaluate(held, model.threshold).first().asDict()
+
+
 def next_version(spark: SparkSession, registry_path: str) -> int:
     return L.next_version(R.read_registry(spark, registry_path)).first()["next_version"]
 

@@ -16,12 +16,16 @@ _SPARK = {
     "LATER": "timestampadd(MICROSECOND, k * 10007, ts)",
     "DIV": "div",
     "PLAIN_TIME": "TIMESTAMP_NTZ",
+    "EXCEPT": "EXCEPT",
+    "SQUEEZED": "timestampadd(MICROSECOND, timestampdiff(MICROSECOND, first_ts, ts) div 16000, TIMESTAMP_NTZ '2024-02-01 00:00:00')",
 }
 _CHECK = {
     "K": "json_extract_string(props, '$.k')",
     "LATER": "ts + to_microseconds(k * 10007)",
     "DIV": "//",
     "PLAIN_TIME": "TIMESTAMP",
+    "EXCEPT": "EXCLUDE",
+    "SQUEEZED": "TIMESTAMP '2024-02-01 00:00:00' + to_microseconds((epoch_us(ts) - epoch_us(first_ts)) // 16000)",
 }
 
 _READINGS = """
@@ -57,6 +61,12 @@ SELECT event_id, ts, user_id, value, CAST([K] AS INT) AS k,
 FROM [events]) base) feat) voted
 """
 
+# The same readings as a stream of under three minutes.
+_READINGS_DENSE = """
+SELECT * [EXCEPT] (ts, first_ts), [SQUEEZED] AS ts FROM (
+SELECT *, (SELECT min(ts) FROM [readings]) AS first_ts FROM [readings]) spread
+"""
+
 _READINGS_BIG = """
 SELECT (l_partkey * 100000 + l_suppkey) * 100000000 + CAST(round(l_extendedprice * 100) AS BIGINT) AS reading_id, l_shipdate AS ts, l_orderkey AS coil_id,
        CAST((l_linenumber - 1) % 5 + 1 AS INT) AS stand, l_extendedprice AS force, l_quantity AS torque,
@@ -143,6 +153,7 @@ def check_sql() -> dict[str, str]:
     readings = _fill(_READINGS, _CHECK | {"events": "events"})
     return {
         "readings": readings,
+        "readings_dense": _fill(_READINGS_DENSE, _CHECK | {"readings": "readings"}),
         "readings_big": _fill(_READINGS_BIG, {"lineitem": "lineitem"}),
         "coil_wide": _fill(_COIL_WIDE, {"lineitem": "lineitem"}),
         "registry": _fill(_REGISTRY, _CHECK | {"readings": "readings", "Q": '"'}),
@@ -169,6 +180,10 @@ def readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _READINGS, events=events)
 
 
+def readings_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, _READINGS_DENSE, readings=readings(spark, sf_dir))
+
+
 def readings_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _READINGS_BIG, lineitem=table(spark, sf_dir, "lineitem"))
 

@@ -1,6 +1,7 @@
 """Training, publication, the model registry and scoring with a trained version."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from rollsight.plans import registry as R
 from rollsight.plans import training as M
 from rollsight.plans.scoring import apply_model
 from rollsight.plans.snapshot import snapshot
+from rollsight.sources import markers as K
 from rollsight.operators.drift import hot_swap_gap
 from rollsight.operators.latest import version_changes
 from rollsight.streaming.jobs import Stores
@@ -97,9 +99,10 @@ def test_frozen_holdout_is_reused_until_the_contract_changes(spark, events, tmp_
     ids = {r[0] for r in coils.collect()}
     later, frozen = M.carve_holdout(spark, rows.where("coil_id < 300"), path)
     assert frozen and {r[0] for r in later.collect()} == ids
-    R.write_text(spark, f"{path}/meta", "another contract")
-    again, _ = M.carve_holdout(spark, rows.where("coil_id < 300"), path)
-    assert {r[0] for r in again.collect()} != ids
+    manifest = json.loads(K.text_of(spark, f"{path}/manifest")) | {"contract": "another contract"}
+    K.swap_text(spark, f"{path}/manifest", json.dumps(manifest))
+    again, frozen = M.carve_holdout(spark, rows.where("coil_id >= 20"), path)
+    assert frozen and {r[0] for r in again.collect()} != ids
 
 
 def test_too_little_data(spark, events, tmp_path):
