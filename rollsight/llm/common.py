@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.session import utc
+from ..functions.session import scratch_folder, utc
 
 # Words handled at once inside a task; keeps a task's arrays small whatever the texts' lengths.
 SLICE_BYTES = 4_000_000
@@ -62,3 +62,34 @@ def unused(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+class Shelf:
+    """Tables stored in the shared folder while an operator runs; `clear` deletes those not kept."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def put(self, df: DataFrame, keep: bool = False) -> DataFrame:
+        """Write a result once and read it back; a kept one outlives the shelf."""
+        folder = scratch_folder(self.spark, "shelf")
+        df.write.parquet(folder)
+        if not keep:
+            self.folders.append(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
+    def clear(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for folder in self.folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+        self.folders = []
+        free_shuffles(self.spark)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so once the driver's collector has found them, which a large driver heap puts off.
+    """
+    spark._jvm.System.gc()

@@ -135,13 +135,10 @@ def test_pipeline_stages(spark):
     assert sum(toxic.get(d, 0) for d in gone) >= 0.8 * sum(toxic.get(d, 0) for d in ids[0])
     assert sum(toxic.get(d, 1) == 0 for d in gone) <= 0.02 * len(ids[0])
     assert ids[2] == ids[1]
-    from tests.llm.test_similarity import plain_components, plain_simhash
+    from tests.llm.test_resemblance import plain_kept
 
     texts = {r["doc_id"]: r["text"] for r in frames[2].select("doc_id", "text").collect()}
-    points = {}
-    for doc in sorted(texts):
-        points.setdefault(plain_simhash(texts[doc]), doc)
-    assert ids[3] == set(plain_components(points).values())
+    assert ids[3] == plain_kept(texts)
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     dirty = set()
     for doc in ids[3]:
