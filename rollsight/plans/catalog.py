@@ -653,21 +653,24 @@ def block_stats(readings):
 
 @query("readings")
 def ewma_mean(readings):
-    rows = _watched(readings, TWO_SIGNALS)
-    states = D.block_states(D.block_stats(rows, TWO_SIGNALS), TWO_SIGNALS)
-    return rounded(D.ewma_means(states, TWO_SIGNALS), "mean", "sd")
+    signals = C.PROCESS_SIGNALS
+    states = D.block_states(D.block_stats(_watched(readings), signals), signals)
+    edge = {name: F.col(name) + 3.7e-8 for name in ("mean", "sd")}
+    return rounded(D.ewma_means(states, signals).withColumns(edge), "mean", "sd")
 
 
 @query("readings")
 def knn_buffer(readings):
     """The standardised reference rows of every block."""
-    rows = _watched(readings, TWO_SIGNALS)
-    states = D.materialised(D.block_states(D.block_stats(rows, TWO_SIGNALS), TWO_SIGNALS))
-    kept = D.buffers(D.tail_rows(rows, states, TWO_SIGNALS), states)
+    signals = C.PROCESS_SIGNALS
+    rows = _watched(readings)
+    states = D.materialised(D.block_states(D.block_stats(rows, signals), signals))
+    kept = D.buffers(D.tail_rows(rows, states, signals), states)
+    names = [f"z_{signal}" for signal in signals]
     named = kept.select(
-        "stand", "block", "reading_id", F.col("z")[0].alias("z_force"), F.col("z")[1].alias("z_gap")
+        "stand", "block", "reading_id", *[(F.col("z")[k] + 3.7e-7).alias(name) for k, name in enumerate(names)]
     )
-    return rounded(named, "z_force", "z_gap", digits=5)
+    return rounded(named, *names, digits=5)
 
 
 def _scored(readings, signals):
@@ -677,7 +680,7 @@ def _scored(readings, signals):
 
 @query("readings")
 def detector_scores(readings):
-    """Two signals, so that the check can invert the covariance in SQL."""
+    """Two signals, a quick look at the scores."""
     return _scored(readings, TWO_SIGNALS)
 
 

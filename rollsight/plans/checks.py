@@ -208,44 +208,79 @@ FROM ({HOURLY}) k ORDER BY window_end DESC LIMIT 1"""
 
 SPC_LIMITS = """SELECT stand, avg(force) AS center, stddev_samp(force) AS sigma FROM readings GROUP BY 1"""
 
-# --- detectors: the adaptive state walked block by block, two signals -----------------------
+# --- detectors: the adaptive state walked block by block ------------------------------------
 
-_D_ROWS = f"""RECURSIVE ev AS (SELECT stand, {DAY_BLOCK}, reading_id, ts, force AS x, gap AS y FROM readings),
-blk AS (SELECT stand, block, count(*) AS n, avg(x) AS bx, avg(y) AS by_,
-     var_pop(x) AS wxx, var_pop(y) AS wyy, covar_pop(x, y) AS wxy,
+
+def _pairs(n: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(n) for j in range(i, n)]
+
+
+def _d_rows(signals) -> str:
+    """Blocks and the states after them: means m0…, covariances c0_0…"""
+    n, pairs = len(signals), _pairs(len(signals))
+    keep, gain = "pow(0.998, b.n)", "(1 - pow(0.998, b.n))"
+    mean = [f"s.m{i} + {gain} * (b.b{i} - s.m{i})" for i in range(n)]
+    cov = [
+        f"{keep} * s.c{i}_{j} + {gain} * (b.w{i}_{j} + {keep} * (b.b{i} - s.m{i}) * (b.b{j} - s.m{j}))" for i, j in pairs
+    ]
+    first = [f"w{i}_{j}{' + 0.001' if i == j else ''} AS c{i}_{j}" for i, j in pairs]
+    return f"""RECURSIVE ev AS (SELECT stand, {DAY_BLOCK}, reading_id, ts, {", ".join(f"{x} AS x{i}" for i, x in enumerate(signals))}
+   FROM readings),
+blk AS (SELECT stand, block, count(*) AS n, {", ".join(f"avg(x{i}) AS b{i}" for i in range(n))},
+     {", ".join(f"covar_pop(x{i}, x{j}) AS w{i}_{j}" for i, j in pairs)},
      row_number() OVER (PARTITION BY stand ORDER BY block) AS j,
      coalesce(sum(count(*)) OVER (PARTITION BY stand ORDER BY block
        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before
    FROM ev GROUP BY stand, block),
-st AS (SELECT stand, block, j, n_before, bx AS mx, by_ AS my, wxx + 0.001 AS cxx, wyy + 0.001 AS cyy,
-     wxy AS cxy FROM blk WHERE j = 1
+st AS (SELECT stand, block, j, n_before, {", ".join(f"b{i} AS m{i}" for i in range(n))}, {", ".join(first)} FROM blk WHERE j = 1
    UNION ALL
-   SELECT b.stand, b.block, b.j, b.n_before,
-     s.mx + (1 - pow(0.998, b.n)) * (b.bx - s.mx), s.my + (1 - pow(0.998, b.n)) * (b.by_ - s.my),
-     pow(0.998, b.n) * s.cxx + (1 - pow(0.998, b.n)) * (b.wxx + pow(0.998, b.n) * (b.bx - s.mx) * (b.bx - s.mx)),
-     pow(0.998, b.n) * s.cyy + (1 - pow(0.998, b.n)) * (b.wyy + pow(0.998, b.n) * (b.by_ - s.my) * (b.by_ - s.my)),
-     pow(0.998, b.n) * s.cxy + (1 - pow(0.998, b.n)) * (b.wxy + pow(0.998, b.n) * (b.bx - s.mx) * (b.by_ - s.my))
+   SELECT b.stand, b.block, b.j, b.n_before, {", ".join(mean)}, {", ".join(cov)}
    FROM st s JOIN blk b ON b.stand = s.stand AND b.j = s.j + 1)"""
 
-_D_BUFFER = """,
-z AS (SELECT e.stand, e.block, e.reading_id, (e.x - s.mx) / sqrt(greatest(s.cxx, 1e-12)) AS zx,
-     (e.y - s.my) / sqrt(greatest(s.cyy, 1e-12)) AS zy,
+
+def _d_scaled(i: int, row: str, state: str) -> str:
+    return f"({row}.x{i} - {state}.m{i}) / sqrt(greatest({state}.c{i}_{i}, 1e-12))"
+
+
+def _d_buffer(n: int) -> str:
+    return f""",
+z AS (SELECT e.stand, e.block, e.reading_id, {", ".join(f"{_d_scaled(i, 'e', 's')} AS z{i}" for i in range(n))},
      row_number() OVER (PARTITION BY e.stand ORDER BY e.block, e.ts, e.reading_id) - 1 AS pos
    FROM ev e JOIN st s ON e.stand = s.stand AND e.block = s.block),
-buf AS (SELECT b.stand, b.block, z.reading_id, z.zx, z.zy FROM blk b JOIN z ON z.stand = b.stand
+buf AS (SELECT b.stand, b.block, z.reading_id, {", ".join(f"z.z{i}" for i in range(n))} FROM blk b JOIN z ON z.stand = b.stand
      AND z.pos >= b.n_before - 300 AND z.pos < b.n_before WHERE b.n_before >= 200)"""
 
-_D_SCORES = f"""WITH {_D_ROWS}{_D_BUFFER},
-sc AS (SELECT e.stand, e.block, e.reading_id, b.j, e.x - s.mx AS dx, e.y - s.my AS dy,
-     s.cxx, s.cyy, s.cxy, s.cxx + 0.001 AS rxx, s.cyy + 0.001 AS ryy
-   FROM ev e JOIN blk b ON b.stand = e.stand AND b.block = e.block
-   JOIN st s ON s.stand = b.stand AND s.j = b.j - 1 WHERE b.n_before >= 200),
+
+def _d_factor(n: int) -> str:
+    """Cholesky factor l of the covariance with its ridge, column by column."""
+    text = "SELECT * FROM st"
+    for j in range(n):
+        own = "".join(f" - l{j}_{k} * l{j}_{k}" for k in range(j))
+        text = f"SELECT *, sqrt(c{j}_{j} + 0.001{own}) AS l{j}_{j} FROM ({text})"
+        below = [
+            f"(c{j}_{i}{''.join(f' - l{i}_{k} * l{j}_{k}' for k in range(j))}) / l{j}_{j} AS l{i}_{j}" for i in range(j + 1, n)
+        ]
+        if below:
+            text = f"SELECT *, {', '.join(below)} FROM ({text})"
+    return text
+
+
+def _d_scores(signals) -> str:
+    n = len(signals)
+    solved = "SELECT *, " + ", ".join(f"x{i} - m{i} AS d{i}" for i in range(n)) + " FROM met"
+    for i in range(n):
+        solved = f"SELECT *, (d{i}{''.join(f' - l{i}_{k} * y{k}' for k in range(i))}) / l{i}_{i} AS y{i} FROM ({solved})"
+    apart = " + ".join(f"pow({_d_scaled(i, 'c', 'c')} - f.z{i}, 2)" for i in range(n))
+    spc = ", ".join(f"abs({_d_scaled(i, 'c', 'c')})" for i in range(n))
+    return f"""WITH {_d_rows(signals)}{_d_buffer(n)},
+factor AS ({_d_factor(n)}),
+met AS (SELECT e.*, b.j AS own_j, s.* EXCLUDE (stand, block) FROM ev e JOIN blk b ON b.stand = e.stand AND b.block = e.block
+   JOIN factor s ON s.stand = b.stand AND s.j = b.j - 1 WHERE b.n_before >= 200),
+sc AS ({solved}),
 near AS (SELECT reading_id, avg(d) AS distance FROM (
-     SELECT c.reading_id, sqrt(pow(c.dx / sqrt(greatest(c.cxx, 1e-12)) - f.zx, 2)
-          + pow(c.dy / sqrt(greatest(c.cyy, 1e-12)) - f.zy, 2)) AS d
-     FROM sc c JOIN buf f ON f.stand = c.stand AND f.block = c.block
+     SELECT c.reading_id, sqrt({apart}) AS d FROM sc c JOIN buf f ON f.stand = c.stand AND f.block = c.block
      QUALIFY row_number() OVER (PARTITION BY c.reading_id ORDER BY d) <= 5) q GROUP BY 1),
-db AS (SELECT c.stand, c.block, c.j, count(*) AS n, avg(distance) AS bm, var_pop(distance) AS bv
+db AS (SELECT c.stand, c.block, c.own_j AS j, count(*) AS n, avg(distance) AS bm, var_pop(distance) AS bv
    FROM sc c JOIN near USING (reading_id) GROUP BY 1, 2, 3),
 ds AS (SELECT stand, j, CAST(0 AS DOUBLE) AS dm, CAST(1 AS DOUBLE) AS dv, n, bm, bv FROM db
    WHERE (stand, j) IN (SELECT (stand, min(j)) FROM db GROUP BY stand)
@@ -254,11 +289,9 @@ ds AS (SELECT stand, j, CAST(0 AS DOUBLE) AS dm, CAST(1 AS DOUBLE) AS dv, n, bm,
      pow(0.998, s.n) * s.dv + (1 - pow(0.998, s.n)) * (s.bv + pow(0.998, s.n) * (s.bm - s.dm) * (s.bm - s.dm)),
      b.n, b.bm, b.bv
    FROM ds s JOIN db b ON b.stand = s.stand AND b.j = s.j + 1),
-fin AS (SELECT c.stand, c.reading_id,
-     (c.dx * c.dx * c.ryy - 2 * c.dx * c.dy * c.cxy + c.dy * c.dy * c.rxx) / (c.rxx * c.ryy - c.cxy * c.cxy) AS u_maha,
-     greatest(abs(c.dx) / sqrt(greatest(c.cxx, 1e-12)), abs(c.dy) / sqrt(greatest(c.cyy, 1e-12))) AS u_spc,
-     (n.distance - d.dm) / sqrt(greatest(d.dv, 1e-9)) AS u_knn
-   FROM sc c JOIN near n USING (reading_id) JOIN ds d ON d.stand = c.stand AND d.j = c.j)
+fin AS (SELECT c.stand, c.reading_id, {" + ".join(f"c.y{i} * c.y{i}" for i in range(n))} AS u_maha,
+     greatest({spc}) AS u_spc, (n.distance - d.dm) / sqrt(greatest(d.dv, 1e-9)) AS u_knn
+   FROM sc c JOIN near n USING (reading_id) JOIN ds d ON d.stand = c.stand AND d.j = c.own_j)
 SELECT stand, reading_id, round(u_maha, 5) AS u_maha, round(u_spc, 5) AS u_spc, round(u_knn, 5) AS u_knn,
        votes AS u_votes, votes >= 2 AS u_anomaly
 FROM (SELECT e.stand, e.reading_id, coalesce(f.u_maha, 0) AS u_maha, coalesce(f.u_spc, 0) AS u_spc,
@@ -546,15 +579,17 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
         f"0.0::DOUBLE AS {p}" for p in C.PROBABILITIES
     ) + ", 0 AS model_version FROM readings"
     q["block_stats"] = _block_stats()
+    every = list(C.PROCESS_SIGNALS)
     after = [
-        f"""SELECT stand, block, CAST(n_before AS BIGINT) AS n_before, '{signal}' AS signal, round({m}, 6) AS mean,
-       round(sqrt(greatest({c}, 1e-12)), 6) AS sd FROM st"""
-        for signal, m, c in (("force", "mx", "cxx"), ("gap", "my", "cyy"))
+        f"""SELECT stand, block, CAST(n_before AS BIGINT) AS n_before, '{signal}' AS signal, round(m{i} + 3.7e-8, 6) AS mean,
+       round(sqrt(greatest(c{i}_{i}, 1e-12)) + 3.7e-8, 6) AS sd FROM st"""
+        for i, signal in enumerate(every)
     ]
-    q["ewma_mean"] = f"WITH {_D_ROWS} " + " UNION ALL ".join(after)
-    q["knn_buffer"] = f"""WITH {_D_ROWS}{_D_BUFFER} SELECT stand, block, reading_id, round(zx, 5) AS z_force,
-       round(zy, 5) AS z_gap FROM buf"""
-    q["detector_scores"] = _D_SCORES
+    q["ewma_mean"] = f"WITH {_d_rows(every)} " + " UNION ALL ".join(after)
+    named = ", ".join(f"round(z{i} + 3.7e-7, 5) AS z_{signal}" for i, signal in enumerate(every))
+    q["knn_buffer"] = f"WITH {_d_rows(every)}{_d_buffer(len(every))} SELECT stand, block, reading_id, {named} FROM buf"
+    q["detector_scores"] = _d_scores(["force", "gap"])
+    q["detector_scores_full"] = _d_scores(every)
     q["stream_kpi_windows"] = f"""SELECT * FROM ({HOURLY}) k
 WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
     q["stream_scored_events"] = """SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, force,

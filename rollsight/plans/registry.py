@@ -108,6 +108,25 @@ class CurrentModel:
         self.rejected: dict[int, str] = {}  # versions of another contract, never tried again
         self.unread: dict[int, str] = {}  # versions that could not be read, tried at each refresh
 
+    def at(self, batch_id: int, journal: str) -> Model | None:
+        """The model of a micro-batch: the newest one, noted under the batch's number before it
+        scores; a batch that is run again takes the one noted for it, whatever is newer by then.
+
+        A noted version that can no longer be read raises an error, as other scores would be wrong.
+        """
+        entry = f"{journal}/batch_id={batch_id}"
+        noted = K.text_of(self.spark, entry)
+        if not noted:
+            newest = self.refresh()
+            K.swap_text(self.spark, entry, str(newest.version if newest else 0))
+            return newest
+        version = int(noted)
+        if version == 0:
+            return None
+        if self.model is not None and self.model.version == version:
+            return self.model
+        return load_model(self.spark, self.root, version)
+
     def refresh(self) -> Model | None:
         visible = numbered_folders(self.spark, self.root, "version", "ready")
         current = self.model.version if self.model else 0

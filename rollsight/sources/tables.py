@@ -17,7 +17,7 @@ DAY = "ts_day"
 BATCH_IDS = 1 << 38
 
 
-def to_sink_schema(df: DataFrame) -> DataFrame:
+def to_sink_schema(df: DataFrame, *also: str) -> DataFrame:
     """Columns of the stored event in order and type; time is cut to milliseconds, UTC."""
     def cast(field):
         column = F.col(field.name)
@@ -25,21 +25,26 @@ def to_sink_schema(df: DataFrame) -> DataFrame:
             column = F.date_trunc("millisecond", column)
         return column.cast(field.dataType).alias(field.name)
 
-    return df.select(*[cast(field) for field in C.SCORED_SCHEMA])
+    return df.select(*[cast(field) for field in C.SCORED_SCHEMA], *also)
 
 
-def stamp(df: DataFrame, batch_id: int) -> DataFrame:
+def stamp(df: DataFrame, batch_id: int, row: str | None = None) -> DataFrame:
     """Columns the sink adds: a growing id, the arrival time and the day.
 
     Ids are batch-major and dense within the batch: each partition starts after the rows of
-    the ones before it, so no global sort is needed and a replayed batch gets its ids again.
-    Call it on a stored (persisted) batch; only one count per partition reaches the driver.
+    the ones before it, so no global sort is needed. `row` names the column of
+    `monotonically_increasing_id` that the rows got when the batch came in, which is dropped; by
+    it a replayed batch gets its ids again, however its stored files are dealt to tasks. Without
+    it rows are numbered as they lie, which a second read may change. Call it on a stored batch;
+    only one count per partition reaches the driver.
     """
     spark = df.sparkSession
-    numbered = df.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    )
-    sizes = sorted(df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    mark = F.monotonically_increasing_id() if row is None else F.col(row)
+    numbered = df.withColumn("_row", mark).withColumns({
+        "_part": F.shiftright("_row", 33).cast("int"), "_row": F.col("_row").bitwiseAND((1 << 33) - 1),
+    })
+    numbered = numbered if row is None else numbered.drop(row)
+    sizes = sorted(numbered.groupBy("_part").count().collect())
     if batch_id >= 1 << 25 or sum(size for _, size in sizes) >= BATCH_IDS:
         raise OverflowError(f"batch {batch_id} does not fit the id scheme")
     starts, total = [], batch_id * BATCH_IDS

@@ -53,6 +53,10 @@ class Stores:
     def detector_state(self):
         return f"{self.root}/detector_state"
 
+    @property
+    def journal(self):
+        return f"{self.root}/model_journal"
+
     def checkpoint(self, query: str):
         return f"{self.root}/checkpoints/{query}"
 
@@ -68,17 +72,18 @@ def store_batch(
 ) -> None:
     """One micro-batch: score, append under its batch folder, advance the detectors.
 
-    Everything it writes is named by the batch, and the detector state it reads is older, so a
-    replayed batch overwrites what it wrote. It takes the newest model, which may be newer than
-    the one of the first attempt.
+    Everything it writes is named by the batch, the detector state it reads is older and the model
+    is the one noted at its first attempt, so a replayed batch overwrites what it wrote with the
+    same rows.
     """
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     signals = tuple(C.PROCESS_SIGNALS)
-    batch = materialised(score(keyed_only(events), current.refresh()).withColumn(S.ROW, F.monotonically_increasing_id()))
+    batch = materialised(score(keyed_only(events), current.at(batch_id, stores.journal)).withColumn(S.ROW, F.monotonically_increasing_id()))
     scores, after = S.advance(batch, S.state_before(spark, stores.detector_state, batch_id), signals, params)
-    scored = batch.join(scores, S.ROW).drop(S.ROW).withColumns({"u_votes": X.votes(), "u_anomaly": X.voted()})
-    append_batch(stamp(to_sink_schema(scored), batch_id), stores.events, batch_id)
+    scored = batch.join(scores, S.ROW).withColumns({"u_votes": X.votes(), "u_anomaly": X.voted()})
+    numbered = to_sink_schema(scored.withColumnRenamed(S.ROW, "_number"), "_number")
+    append_batch(stamp(numbered, batch_id, "_number"), stores.events, batch_id)
     S.save_state(after, stores.detector_state, batch_id)
 
 

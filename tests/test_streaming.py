@@ -138,6 +138,31 @@ def test_hot_swap_and_rejected_models(spark, tmp_path):
     assert fresh.refresh().version == 3
 
 
+def test_batch_replayed_after_a_publication_keeps_its_model(spark, tmp_path):
+    stores = B.Stores(str(tmp_path / "out"))
+    R.make_folder(spark, stores.models)
+    raw = [spark.createDataFrame([(json.dumps(e),) for i in range(20) for e in coil(n * 20 + i, n * 20 + i)], "value string") for n in range(3)]
+    constant = {family: None for family in C.FAMILIES}
+    current = R.CurrentModel(spark, stores.models)
+
+    def rows(batch):
+        found = B.read_events(spark, stores).where(F.col("batch_id") == batch)
+        return found.drop("ingested_at").orderBy("reading_id").collect()
+
+    B.store_batch(decode(raw[0]), 0, stores, current)
+    R.save_model(spark, Model(1, constant), stores.models)
+    B.store_batch(decode(raw[1]), 1, stores, current)
+    before = rows(0), rows(1)
+    assert {r["model_version"] for r in before[0]} == {0} and {r["model_version"] for r in before[1]} == {1}
+    R.save_model(spark, Model(2, constant), stores.models)
+    restarted = R.CurrentModel(spark, stores.models)
+    for batch in (0, 1):
+        B.store_batch(decode(raw[batch]), batch, stores, restarted)
+    assert (rows(0), rows(1)) == before
+    B.store_batch(decode(raw[2]), 2, stores, restarted)
+    assert {r["model_version"] for r in rows(2)} == {2}
+
+
 def test_bad_kafka_environment_is_reported(spark):
     from rollsight.sources.wire import kafka_events
 
