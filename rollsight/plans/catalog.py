@@ -693,6 +693,9 @@ def detector_scores_full(readings):
 # --- streaming and training ---------------------------------------------------------------
 
 
+_SCORES = ["u_maha", "u_spc", "u_knn", "u_votes", "u_anomaly"]
+
+
 def _finished(stream):
     stream.awaitTermination()
     if stream.exception() is not None:
@@ -718,6 +721,24 @@ def stream_scored_events(stream):
     )
 
 
+@query("readings")
+def stream_detector_scores(readings):
+    """Detector scores of the scoring job over micro-batches of three days each, in order of time.
+
+    The feed has one file per micro-batch, written one after another, as the job reads the oldest
+    file first; every batch starts from the detector state the one before has stored.
+    """
+    spark = readings.sparkSession
+    stores, feed = B.Stores(scratch_folder(spark, "stream")), scratch_folder(spark, "feed")
+    blocks = materialised(D.with_block(_wire_events(readings.drop(*_SCORES)), 3 * DAY_S).orderBy("block", "ts", "reading_id"))
+    for row in blocks.select("block").distinct().orderBy("block").collect():
+        part = blocks.where(F.col("block") == row["block"]).coalesce(1).sortWithinPartitions("ts", "reading_id")
+        J.encode(part).select("value").write.mode("append").text(feed)
+    _finished(B.start_scoring(J.file_events(spark, feed, 1), stores, {"availableNow": True}))
+    scores = B.read_events(spark, stores).select("ts", "coil_id", "stand", *_SCORES)
+    return rounded(scores, "u_maha", "u_spc", "u_knn", digits=5)
+
+
 @query("readings")
 def retrain_registry(readings):
     """A short training run on all readings and the version it registers."""

@@ -215,7 +215,7 @@ def _pairs(n: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(n) for j in range(i, n)]
 
 
-def _d_rows(signals) -> str:
+def _d_rows(signals, block: str = DAY_BLOCK) -> str:
     """Blocks and the states after them: means m0…, covariances c0_0…"""
     n, pairs = len(signals), _pairs(len(signals))
     keep, gain = "pow(0.998, b.n)", "(1 - pow(0.998, b.n))"
@@ -224,7 +224,7 @@ def _d_rows(signals) -> str:
         f"{keep} * s.c{i}_{j} + {gain} * (b.w{i}_{j} + {keep} * (b.b{i} - s.m{i}) * (b.b{j} - s.m{j}))" for i, j in pairs
     ]
     first = [f"w{i}_{j}{' + 0.001' if i == j else ''} AS c{i}_{j}" for i, j in pairs]
-    return f"""RECURSIVE ev AS (SELECT stand, {DAY_BLOCK}, reading_id, ts, {", ".join(f"{x} AS x{i}" for i, x in enumerate(signals))}
+    return f"""RECURSIVE ev AS (SELECT stand, {block}, reading_id, coil_id, ts, {", ".join(f"{x} AS x{i}" for i, x in enumerate(signals))}
    FROM readings),
 blk AS (SELECT stand, block, count(*) AS n, {", ".join(f"avg(x{i}) AS b{i}" for i in range(n))},
      {", ".join(f"covar_pop(x{i}, x{j}) AS w{i}_{j}" for i, j in pairs)},
@@ -265,14 +265,15 @@ def _d_factor(n: int) -> str:
     return text
 
 
-def _d_scores(signals) -> str:
+def _d_scores(signals, block: str = DAY_BLOCK, keys=("e.stand", "e.reading_id")) -> str:
     n = len(signals)
     solved = "SELECT *, " + ", ".join(f"x{i} - m{i} AS d{i}" for i in range(n)) + " FROM met"
     for i in range(n):
         solved = f"SELECT *, (d{i}{''.join(f' - l{i}_{k} * y{k}' for k in range(i))}) / l{i}_{i} AS y{i} FROM ({solved})"
     apart = " + ".join(f"pow({_d_scaled(i, 'c', 'c')} - f.z{i}, 2)" for i in range(n))
     spc = ", ".join(f"abs({_d_scaled(i, 'c', 'c')})" for i in range(n))
-    return f"""WITH {_d_rows(signals)}{_d_buffer(n)},
+    names = ", ".join(key.split(" AS ")[-1].removeprefix("e.") for key in keys)
+    return f"""WITH {_d_rows(signals, block)}{_d_buffer(n)},
 factor AS ({_d_factor(n)}),
 met AS (SELECT e.*, b.j AS own_j, s.* EXCLUDE (stand, block) FROM ev e JOIN blk b ON b.stand = e.stand AND b.block = e.block
    JOIN factor s ON s.stand = b.stand AND s.j = b.j - 1 WHERE b.n_before >= 200),
@@ -292,9 +293,9 @@ ds AS (SELECT stand, j, CAST(0 AS DOUBLE) AS dm, CAST(1 AS DOUBLE) AS dv, n, bm,
 fin AS (SELECT c.stand, c.reading_id, {" + ".join(f"c.y{i} * c.y{i}" for i in range(n))} AS u_maha,
      greatest({spc}) AS u_spc, (n.distance - d.dm) / sqrt(greatest(d.dv, 1e-9)) AS u_knn
    FROM sc c JOIN near n USING (reading_id) JOIN ds d ON d.stand = c.stand AND d.j = c.own_j)
-SELECT stand, reading_id, round(u_maha, 5) AS u_maha, round(u_spc, 5) AS u_spc, round(u_knn, 5) AS u_knn,
+SELECT {names}, round(u_maha, 5) AS u_maha, round(u_spc, 5) AS u_spc, round(u_knn, 5) AS u_knn,
        votes AS u_votes, votes >= 2 AS u_anomaly
-FROM (SELECT e.stand, e.reading_id, coalesce(f.u_maha, 0) AS u_maha, coalesce(f.u_spc, 0) AS u_spc,
+FROM (SELECT {", ".join(keys)}, coalesce(f.u_maha, 0) AS u_maha, coalesce(f.u_spc, 0) AS u_spc,
         coalesce(f.u_knn, 0) AS u_knn,
         (CASE WHEN f.u_maha > 23.21 THEN 1 ELSE 0 END) + (CASE WHEN f.u_spc > 3 THEN 1 ELSE 0 END)
           + (CASE WHEN f.u_knn > 3 THEN 1 ELSE 0 END) AS votes
@@ -590,6 +591,10 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
     q["knn_buffer"] = f"WITH {_d_rows(every)}{_d_buffer(len(every))} SELECT stand, block, reading_id, {named} FROM buf"
     q["detector_scores"] = _d_scores(["force", "gap"])
     q["detector_scores_full"] = _d_scores(every)
+    q["stream_detector_scores"] = _d_scores(
+        every, "CAST(floor(epoch_us(ts) / (3 * 86400000000)) AS BIGINT) AS block",
+        ("date_trunc('milliseconds', e.ts) AS ts", "e.coil_id", "e.stand"),
+    )
     q["stream_kpi_windows"] = f"""SELECT * FROM ({HOURLY}) k
 WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
     q["stream_scored_events"] = """SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, force,
