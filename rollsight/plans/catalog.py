@@ -741,8 +741,7 @@ def stream_detector_scores(readings):
 
 @query("readings")
 def retrain_registry(readings):
-    """A short training run on all readings and the version it registers."""
+    """A training run on all readings, with the package's own parameters, and the version it registers."""
     stores = B.Stores(scratch_folder(readings.sparkSession, "train"))
-    quick = M.BoostParams(iterations=2, step=0.3, depth=3)
-    M.retrain(readings, stores.models, stores.registry, stores.holdout, quick)
+    M.retrain(readings, stores.models, stores.registry, stores.holdout)
     return G.read_registry(readings.sparkSession, stores.registry)

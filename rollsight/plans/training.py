@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -100,23 +101,26 @@ def fit(rows: DataFrame, params: BoostParams = BoostParams()) -> tuple[dict, dic
     then scores 0. Also the positives per family."""
     weights = {row["family"]: row for row in E.class_weights(rows).collect()}
     features = with_features(rows).select("_features", *C.LABELS).persist()
-    models = {}
-    for family in C.FAMILIES:
+
+    def of_family(family: str):
         known = weights[family]
         if known["weight_fault"] is None or known["weight_normal"] is None:
-            models[family] = None
-            continue
+            return None
         label = F.coalesce(F.col(f"y_{family}"), F.lit(False))
         weighted = features.select(
             "_features",
             label.cast("double").alias("label"),
             F.when(label, known["weight_fault"]).otherwise(known["weight_normal"]).alias("weight"),
         )
-        models[family] = GBTClassifier(
+        return GBTClassifier(
             featuresCol="_features", labelCol="label", weightCol="weight",
             maxIter=params.iterations, stepSize=params.step, maxDepth=params.depth,
             seed=params.seed, cacheNodeIds=True, checkpointInterval=10,
         ).fit(weighted)
+
+    # The jobs of a fit follow one another; those of the four families fill the gaps.
+    with ThreadPoolExecutor(len(C.FAMILIES)) as pool:
+        models = dict(zip(C.FAMILIES, pool.map(of_family, C.FAMILIES)))
     features.unpersist()
     return models, {family: weights[family]["positives"] for family in C.FAMILIES}
 
