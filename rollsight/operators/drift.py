@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from ..functions import columns as X
 from .evaluation import family_counts
-from .rates import recent, wall_clock
+from .rates import recent, stream_anchor, wall_clock
 
 
 def effective_threshold(registry: DataFrame, fallback: float = C.FALLBACK_THRESHOLD) -> DataFrame:
@@ -46,8 +46,7 @@ def drift_decision(
     model = newest_version(registry)
     threshold = model.select("threshold").scalar()
     counts = live_recall_counts(scored, threshold, policy.window)
-    anchor = scored.agg(F.max("ts").alias("anchor"))
-    idle = X.seconds_between(clock, anchor.scalar())
+    idle = X.seconds_between(clock, stream_anchor(scored))
     age = X.seconds_between(clock, model.select("trained_at").scalar())
     facts = counts.select(
         "*",

@@ -185,7 +185,7 @@ def latest_kpi(kpis: DataFrame) -> DataFrame:
 
 def freshness(df: DataFrame, now=None, live_s: float = 8.0, idle_s: float = 60.0) -> DataFrame:
     """Seconds since the newest event, and what they mean."""
-    newest = df.agg(F.max("ts").alias("anchor_ts"))
+    newest = df.sparkSession.range(1).select(stream_anchor(df).alias("anchor_ts"))
     seconds = X.seconds_between(wall_clock(now), F.col("anchor_ts"))
     return newest.select(
         "anchor_ts",

@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.session import small_side
+from ..functions.session import materialised, small_side
 
 SKETCH_ACCURACY = 10_000
+# Half widths of the brackets, in errors of the sketch; groups that miss a rank get the next one,
+# and after the last one all their values.
+MARGINS = (3.0, 30.0, 300.0)
 
 
 def _pick_ranks(counts: DataFrame, groups: list[str], positions: dict[str, object]) -> DataFrame:
     """Values at fractional positions, interpolated between the two neighbours.
 
-    `counts` holds groups, slot, exact, cnt. A position is an expression over `n`.
+    `counts` holds groups, slot, exact, cnt. A position is an expression over `n`. `sure` tells
+    whether all wanted ranks lay among the exact values; without that the values mean nothing.
     """
     everything = W.partitionBy(*groups)
     ordered = everything.orderBy("slot", F.desc("exact")).rowsBetween(W.unboundedPreceding, 0)
@@ -44,15 +48,13 @@ def _pick_ranks(counts: DataFrame, groups: list[str], positions: dict[str, objec
     found = ranked.groupBy(*groups).agg(*aggregates)
 
     def value(name, position):
-        sure = F.col(f"{name}_lo_exact") & F.col(f"{name}_hi_exact")
         low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        between = low + (high - low) * (position - F.floor(position))
-        return F.when(sure, between).otherwise(
-            F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-        )
+        return low + (high - low) * (position - F.floor(position))
 
+    sure = reduce(and_, [F.col(f"{name}_{side}_exact") for name in positions for side in ("lo", "hi")])
     return found.select(
-        *groups, "n", *[value(name, pos).alias(name) for name, pos in positions.items()]
+        *groups, "n", *[value(name, pos).alias(name) for name, pos in positions.items()],
+        F.coalesce(sure, F.lit(False)).alias("sure"),
     )
 
 
@@ -74,20 +76,42 @@ def percentiles_of_steps(
         .agg(F.count(F.lit(1)).alias("cnt"))
         .withColumn("exact", F.lit(True))
     )
-    return _pick_ranks(counts, groups, _positions(probs))
+    return _pick_ranks(counts, groups, _positions(probs)).drop("sure")
 
 
 def _same_group(left: DataFrame, right: DataFrame, groups: list[str]):
     return reduce(and_, [left[g].eqNullSafe(right[f"of_{g}"]) for g in groups])
 
 
-def _bracketed(values: DataFrame, groups: list[str], probs: list[float], accuracy: int):
+def _selected(values: DataFrame, groups: list[str], probs: list[float], positions, accuracy: int, margins) -> DataFrame:
+    """The exact values at the positions, from brackets that are widened where they missed.
+
+    A row per group is stored and looked at after each try; only groups that missed are read again.
+    """
+    found = None
+    for margin in (*margins, None):
+        counts = _bracketed(values, groups, probs, accuracy, margin)
+        tried = materialised(_pick_ranks(counts, groups, positions))
+        hit = tried.where("sure").drop("sure")
+        found = hit if found is None else found.unionByName(hit)
+        missed = tried.where("NOT sure").select(*[F.col(g).alias(f"of_{g}") for g in groups])
+        if missed.isEmpty():
+            return found
+        values = values.join(small_side(missed), _same_group(values, missed, groups), "left_semi")
+    return found
+
+
+def _bracketed(values: DataFrame, groups: list[str], probs: list[float], accuracy: int, errors: float | None):
     """(group, slot, exact, cnt): exact values near the wanted ranks, totals elsewhere.
 
-    The sketch errs by at most n/accuracy ranks, the brackets allow three times that.
-    Groups too small for that margin keep all their (few) values.
+    The sketch errs by at most n/accuracy ranks, the brackets allow `errors` times that. Groups too
+    small for that margin keep all their (few) values; without a margin every group does.
     """
-    margin = 3.0 / accuracy
+    if errors is None:
+        return values.groupBy(*groups, F.col("value").alias("slot")).agg(F.count(F.lit(1)).alias("cnt")).withColumn(
+            "exact", F.lit(True)
+        )
+    margin = errors / accuracy
     edges = [min(1.0, max(0.0, p + side * margin)) for p in probs for side in (-1, 1)]
     sketch = small_side(
         values.groupBy(*[F.col(g).alias(f"of_{g}") for g in groups]).agg(
@@ -120,6 +144,7 @@ def percentiles(
     measures: list[str],
     probs: dict[str, float],
     accuracy: int = SKETCH_ACCURACY,
+    margins=MARGINS,
 ) -> DataFrame:
     """Exact interpolated percentiles of continuous measures: a row per group and measure."""
     pairs = [
@@ -128,15 +153,13 @@ def percentiles(
     ]
     values = df.select(*groups, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
     keys = [*groups, "measure"]
-    counts = _bracketed(values, keys, list(probs.values()), accuracy)
-    return _pick_ranks(counts, keys, _positions(probs))
+    return _selected(values, keys, list(probs.values()), _positions(probs), accuracy, margins)
 
 
 def share_cut(
-    df: DataFrame, group: str, value: str, share: float, accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, group: str, value: str, share: float, accuracy: int = SKETCH_ACCURACY, margins=MARGINS
 ) -> DataFrame:
     """Per group the value at rank ceil(share · n): rows up to it make up the share."""
     values = df.select(group, F.col(value).cast("double").alias("value"))
-    counts = _bracketed(values, [group], [share], accuracy)
     position = F.ceil(F.lit(share) * F.col("n")) - 1
-    return _pick_ranks(counts, [group], {"cut": position})
+    return _selected(values, [group], [share], {"cut": position}, accuracy, margins)

@@ -124,16 +124,11 @@ def _wire_events(readings):
 
 @query("readings")
 def json_encode(readings):
+    """Every field of the message, read back from its text."""
     sent = J.encode(_wire_events(readings))
     return sent.select(
         "key",
-        *[
-            F.get_json_object("value", f"$.{name}").cast(kind).alias(name)
-            for name, kind in (
-                ("coil_id", "long"), ("stand", "int"), ("ts_ms", "long"), ("force", "double"),
-                ("y_electric", "boolean"),
-            )
-        ],
+        *[F.get_json_object("value", f"$.{f.name}").cast(f.dataType).alias(f.name) for f in C.READING_SCHEMA],
     )
 
 
@@ -151,8 +146,7 @@ def json_decode(readings):
     packed = F.to_json(F.struct(*[f.name for f in C.READING_SCHEMA]))
     raw = events.withColumn("value", packed).select(damaged.alias("value"))
     return J.keyed_only(J.decode(raw)).select(
-        F.col("ts").cast("timestamp_ntz").alias("ts"), "coil_id", "stand", "file_no", "force",
-        "torque", "gap", *C.LABELS,
+        F.col("ts").cast("timestamp_ntz").alias("ts"), "coil_id", "stand", "file_no", *C.SIGNALS, *C.LABELS,
     )
 
 
@@ -739,6 +733,32 @@ def stream_detector_scores(readings):
     return rounded(scores, "u_maha", "u_spc", "u_knn", digits=5)
 
 
+@query("readings")
+def stream_late_and_replayed(readings):
+    """Both streaming jobs over three deliveries of ten days, with rows too late and rows sent twice.
+
+    Some rows of the first days come with the second delivery: they are stored, but their windows
+    have closed. Of each delivery some rows come twice: both are stored, one is counted.
+    """
+    spark = readings.sparkSession
+    stores, feed = B.Stores(scratch_folder(spark, "stream")), scratch_folder(spark, "feed")
+    third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).cast("int")
+    late = (F.col("reading_id") % 97 == 0) & (F.dayofmonth("ts") < 10)
+    twice = F.array_repeat(F.lit(0), F.when(F.col("reading_id") % 50 == 0, 2).otherwise(1))
+    sent = materialised(_wire_events(readings.drop(*_SCORES)).select(
+        "*", F.when(late, 1).otherwise(third).alias("delivery"), F.explode(twice).alias("copy")
+    ))
+    for delivery in range(3):
+        J.encode(sent.where(F.col("delivery") == delivery)).select("value").write.mode("append").text(feed)
+        _finished(B.start_scoring(J.file_events(spark, feed), stores, {"availableNow": True}))
+        _finished(B.start_kpis(B.stored_events(spark, stores), stores, "1 hour", THRESHOLD, trigger={"availableNow": True}))
+    stored = B.read_events(spark, stores).groupBy(F.window("ts", "1 hour").alias("w")).agg(F.count("*").alias("stored"))
+    kpis = B.read_kpis(spark, stores)
+    return kpis.join(stored, kpis["window_start"] == stored["w.start"]).select(
+        "window_start", "window_end", "coils", "events", "anomalies", "stored"
+    )
+
+
 @query("readings")
 def retrain_registry(readings):
     """A training run on all readings, with the package's own parameters, and the version it registers."""

@@ -374,11 +374,13 @@ UNION ALL SELECT 2000000 + c_custkey, 2, c_acctbal FROM customer) m"""
        force, tension_in, tension_out FROM ({_unfold()}) u"""
     q["first_n_coils"] = f"""SELECT coil_id, stand, force, y_reduction FROM ({_unfold()}) u
 WHERE coil_id IN (SELECT coil_id FROM coil_wide ORDER BY md5(CAST(coil_id AS VARCHAR) || '|42'), coil_id LIMIT 100)"""
-    q["json_encode"] = """SELECT CAST(coil_id AS VARCHAR) AS "key", coil_id, stand, epoch_us(ts) // 1000 AS ts_ms,
-       force, y_electric FROM readings"""
+    q["json_encode"] = f"""SELECT CAST(coil_id AS VARCHAR) AS "key", epoch_us(ts) // 1000 AS ts_ms,
+       {", ".join(f.name for f in C.READING_SCHEMA if f.name != "ts_ms")} FROM readings"""
+    sent = {
+        "force": "CASE WHEN stand <> 3 THEN force END AS force", "torque": "CASE WHEN stand <> 4 THEN torque END AS torque",
+    }
     q["json_decode"] = f"""SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, file_no,
-       CASE WHEN stand <> 3 THEN force END AS force, CASE WHEN stand <> 4 THEN torque END AS torque,
-       gap, {LABELS} FROM readings WHERE stand <> 2"""
+       {", ".join(sent.get(name, name) for name in C.SIGNALS)}, {LABELS} FROM readings WHERE stand <> 2"""
     q["null_guard"] = """SELECT reading_id, epoch_us(ts) // 1000 AS ts_ms, coil_id, stand FROM readings
 WHERE file_no <> 3 AND NOT y_reduction AND stand <> 4"""
     sink = [f.name for f in C.SCORED_SCHEMA if f.name != "ts"]
@@ -597,6 +599,13 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
     )
     q["stream_kpi_windows"] = f"""SELECT * FROM ({HOURLY}) k
 WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
+    q["stream_late_and_replayed"] = """WITH r AS (SELECT coil_id, stand, date_trunc('milliseconds', ts) AS ts,
+       reading_id % 97 = 0 AND day(ts) < 10 AS late, CASE WHEN reading_id % 50 = 0 THEN 2 ELSE 1 END AS copies FROM readings),
+k AS (SELECT date_trunc('hour', ts) AS window_start, count(DISTINCT coil_id) AS coils, count(*) AS events
+  FROM (SELECT DISTINCT coil_id, stand, ts FROM r WHERE NOT late) d GROUP BY 1),
+s AS (SELECT date_trunc('hour', ts) AS window_start, CAST(sum(copies) AS BIGINT) AS stored FROM r GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, coils, events, 0 AS anomalies, stored FROM k JOIN s USING (window_start)
+WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM r WHERE NOT late) - INTERVAL 1 SECOND"""
     q["stream_scored_events"] = """SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, force,
        0.0::DOUBLE AS anomaly_score, y_any, 0 AS model_version FROM readings"""
     return q

@@ -31,8 +31,8 @@ def snapshot_rates(
     )
     origin = F.lit("2000-01-01").cast("timestamp_ntz")
     length_s = X.seconds_between(origin + F.expr(f"interval {short}"), origin)
-    whole = scored.agg(
-        F.count_distinct("coil_id").alias("coils_total"), F.max("ts").alias("anchor_ts")
+    whole = scored.agg(F.count_distinct("coil_id").alias("coils_total")).select(
+        "coils_total", A.stream_anchor(scored).alias("anchor_ts")
     )
     speed = A.latest_kpi(kpis).select(
         F.col("window_start").alias("kpi_start"), F.col("window_end").alias("kpi_end"),

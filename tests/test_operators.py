@@ -288,3 +288,27 @@ def test_latency_below_a_millisecond(spark):
     rows = [(T0, T0 + dt.timedelta(microseconds=us)) for us in (400, 1400)]
     row = A.latency_per_minute(spark.createDataFrame(rows, "ts timestamp, ingested_at timestamp")).first()
     assert row["p50"] == pytest.approx(0.0009)
+
+
+def test_brackets_that_miss_are_widened(spark):
+    """A sketch of a few points and brackets without width miss nearly every rank."""
+    rows = spark.range(0, 40_000, 1, 8).select(
+        (F.col("id") % 3).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7).alias("v")
+    ).unionByName(spark.range(3).select(F.lit(None).cast("long").alias("g"), F.col("id").cast("double").alias("v")))
+    probs = {"low": 0.013, "mid": 0.5, "high": 0.987}
+    want = {
+        r["g"]: (r["low"], r["mid"], r["high"]) for r in rows.groupBy("g").agg(
+            *[F.percentile("v", p).alias(name) for name, p in probs.items()]
+        ).collect()
+    }
+    for margins in ((), (0.0,), (0.0, 0.5), (3.0,)):
+        got = Q.percentiles(rows, ["g"], ["v"], probs, accuracy=20, margins=margins).collect()
+        assert len(got) == len(want)
+        assert all((r["low"], r["mid"], r["high"]) == pytest.approx(want[r["g"]]) for r in got)
+    first = Q._bracketed(rows.withColumn("value", F.col("v")), ["g"], [0.5], 20, 0.0)
+    tried = Q._pick_ranks(first, ["g"], Q._positions({"mid": 0.5}))
+    assert tried.where("NOT sure").count() == 3  # so the widening was needed
+    cuts = Q.share_cut(rows, "g", "v", 0.15, accuracy=20, margins=(0.0,)).collect()
+    ranks = {r["g"]: rows.where(F.col("g").eqNullSafe(F.lit(r["g"])) & (F.col("v") <= r["cut"])).count() for r in cuts}
+    sizes = {r["g"]: r["n"] for r in cuts}
+    assert all(ranks[g] >= 0.15 * sizes[g] > ranks[g] - 2 for g in ranks)

@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, engine, name):
 
 
 def test_every_query_has_sql_or_a_brute_force_test():
-    assert set(QUERIES) - set(TEXTS) == {"detector_scores_full", "retrain_registry"}
+    assert set(QUERIES) - set(TEXTS) == {"retrain_registry"}
     assert not set(TEXTS) - set(entry.queries())
 
 
