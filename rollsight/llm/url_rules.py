@@ -2,7 +2,8 @@
 
 Every rule is an expression `host + path`. A URL matches a rule if the rule's host is the URL's
 host or a suffix of it that starts after a dot, and the URL's path starts with the rule's path.
-Each URL is expanded into all such expressions, these are joined with the rules on a short hash
+Each URL is expanded into all such expressions that have as many labels and as long a path as some
+rule, so their number depends on the rules and not on the URL. These are joined with the rules on a short hash
 prefix, and full digests confirm. The longest expression wins, on equal length the longer host.
 """
 
@@ -45,12 +46,12 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-def _expressions(urls: DataFrame, lengths: list[int]) -> DataFrame:
-    """One row per expression of a (host, path): host suffixes at dots, path prefixes at the
-    lengths that rule paths have."""
-    labels = "split(host, '[.]', -1)"
+def _expressions(urls: DataFrame, labels: list[int], lengths: list[int]) -> DataFrame:
+    """One row per expression of a (host, path): host suffixes at dots with the numbers of labels
+    that rule hosts have, path prefixes at the lengths that rule paths have."""
+    held = "length(host) - length(replace(host, '.', '')) + 1"
     suffixes = (
-        f"transform(sequence(1, size({labels})), k -> concat_ws('.', slice({labels}, k, size({labels}) - k + 1)))"
+        f"transform(filter(array({', '.join(map(str, labels))}), k -> k <= {held}), k -> substring_index(host, '.', -k))"
     )
     wanted = ", ".join(map(str, lengths))
     prefixes = f"transform(filter(array({wanted}), n -> n <= length(path)), n -> substring(path, 1, n))"
@@ -74,6 +75,9 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     )
     # Lengths of rule paths: one small number per distinct length, not one per rule.
     lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect()) or [0]
+    # Numbers of labels of rule hosts, likewise.
+    dots = F.length("rule_host") - F.length(F.replace("rule_host", F.lit("."), F.lit("")))
+    labels = sorted(r[0] for r in rules.select(dots + 1).distinct().collect()) or [1]
     digest = F.sha2(F.concat("rule_host", F.lit("\n"), "rule_path"), 256)
     keyed = small_side(rules.select(
         digest.alias("rule_digest"), F.substring(digest, 1, PREFIX_HEX).alias("key"),
@@ -83,7 +87,7 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     parts = pages.drop("host", "path", "rule", "verdict").withColumns(
         {"host": host_of(f"`{url}`"), "path": path_of(f"`{url}`")}
     )
-    spread = _expressions(parts.select("host", "path").distinct(), lengths)
+    spread = _expressions(parts.select("host", "path").distinct(), labels, lengths)
     spread = spread.withColumn("key", F.substring("digest", 1, PREFIX_HEX))
     fits = spread.join(keyed, "key").where("digest = rule_digest")
     rank = F.struct(F.length("rule").alias("n"), "host_length", "rule", "rule_verdict")

@@ -1,6 +1,7 @@
 """Line chunks, URL rules, decontamination and the pipeline: small cases and brute force."""
 
 import re
+import time
 
 import pytest
 
@@ -102,6 +103,20 @@ ASKED = [
 ]
 
 
+def test_url_rules_on_hosts_of_many_labels(spark):
+    rules = [*url_rules.RULES, ("a.b.example.net", "/en/x", "block"), ("b.example.net.", "/", "block")]
+    tail = ["a.b.example.net/en/x1", "b.example.net/en/", "example.net", "net/q", "b.example.net./", "org/fr/", "example.com/fr/"]
+    urls = [f"http://{'x.' * 100_000}{rest}" for rest in tail] + [f"http://{'.' * 50_000}net/", f"http://{'net' * 30_000}/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    start = time.time()
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_rules.judged(pages, url_rules.rule_table(spark, rules)).collect()}
+    assert time.time() - start < 20
+    assert got == {
+        0: ("a.b.example.net/en/x", "block"), 1: ("example.net/en/", "allow"), 2: (None, "allow"), 3: ("net/", "block"),
+        4: ("b.example.net./", "block"), 5: ("org/fr/", "allow"), 6: (None, "allow"), 7: ("net/", "block"), 8: (None, "allow"),
+    }
+
+
 @pytest.mark.parametrize("size", [500_000, 2])
 def test_decontamination(spark, monkeypatch, size):
     """A tiny automaton size makes several scans of it."""
