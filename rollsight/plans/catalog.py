@@ -27,6 +27,7 @@ from ..sources import coils as K
 from ..sources import fixtures as V
 from ..sources import tables as T
 from ..sources import wire as J
+from ..sources.totals import read_totals
 from ..functions.session import materialised, scratch_folder
 from ..streaming import jobs as B
 from . import policy as Q
@@ -759,6 +760,21 @@ def stream_late_and_replayed(readings):
     )
 
 
+@query("readings")
+def stream_totals(readings):
+    """Events and different coils so far, from the rows the scoring job adds per micro-batch.
+
+    Three deliveries share nearly all their coils.
+    """
+    spark = readings.sparkSession
+    stores, feed = B.Stores(scratch_folder(spark, "stream")), scratch_folder(spark, "feed")
+    sent = materialised(_wire_events(readings.drop(*_SCORES)))
+    for delivery in range(3):
+        J.encode(sent.where(F.col("reading_id") % 3 == delivery)).select("value").write.mode("append").text(feed)
+        _finished(B.start_scoring(J.file_events(spark, feed), stores, {"availableNow": True}))
+    return read_totals(spark, stores.totals)
+
+
 @query("readings")
 def retrain_registry(readings):
     """A training run on all readings, with the package's own parameters, and the version it registers."""

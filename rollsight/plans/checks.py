@@ -599,6 +599,8 @@ WHERE coil_id NOT IN (SELECT coil_id FROM ({HOLDOUT}) h)"""
     )
     q["stream_kpi_windows"] = f"""SELECT * FROM ({HOURLY}) k
 WHERE window_end <= (SELECT max(ts) FROM readings) - INTERVAL 1 SECOND"""
+    q["stream_totals"] = """SELECT count(*) AS events_total, count(DISTINCT coil_id) AS coils_total,
+       date_trunc('milliseconds', min(ts)) AS first_ts, date_trunc('milliseconds', max(ts)) AS anchor_ts FROM readings"""
     q["stream_late_and_replayed"] = """WITH r AS (SELECT coil_id, stand, date_trunc('milliseconds', ts) AS ts,
        reading_id % 97 = 0 AND day(ts) < 10 AS late, CASE WHEN reading_id % 50 = 0 THEN 2 ELSE 1 END AS copies FROM readings),
 k AS (SELECT date_trunc('hour', ts) AS window_start, count(DISTINCT coil_id) AS coils, count(*) AS events

@@ -20,8 +20,13 @@ def snapshot_rates(
     short: str = "10 seconds",
     latency: str = "60 seconds",
     rollup: DataFrame | None = None,
+    totals_row: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of vitals: event and coil speed, totals, vote rate, freshness, latency."""
+    """One row of vitals: event and coil speed, totals, vote rate, freshness, latency.
+
+    `totals_row` (`sources.totals.read_totals`) gives the coils so far and the newest event time
+    without a read of all events.
+    """
     stands = A.stand_rollup(scored, threshold, short) if rollup is None else rollup
     events, voted = F.sum("events"), F.sum(F.col("events") * F.col("u_rate"))
     totals = stands.agg(
@@ -31,9 +36,12 @@ def snapshot_rates(
     )
     origin = F.lit("2000-01-01").cast("timestamp_ntz")
     length_s = X.seconds_between(origin + F.expr(f"interval {short}"), origin)
-    whole = scored.agg(F.count_distinct("coil_id").alias("coils_total")).select(
-        "coils_total", A.stream_anchor(scored).alias("anchor_ts")
-    )
+    if totals_row is None:
+        whole = scored.agg(F.count_distinct("coil_id").alias("coils_total")).select(
+            "coils_total", A.stream_anchor(scored).alias("anchor_ts")
+        )
+    else:
+        whole = totals_row.select("coils_total", "anchor_ts")
     speed = A.latest_kpi(kpis).select(
         F.col("window_start").alias("kpi_start"), F.col("window_end").alias("kpi_end"),
         F.col("coils").alias("kpi_coils"), "coils_per_min",
@@ -60,7 +68,7 @@ def snapshot_rates(
 
 
 def snapshot(
-    scored: DataFrame, kpis: DataFrame, registry: DataFrame, now=None
+    scored: DataFrame, kpis: DataFrame, registry: DataFrame, now=None, totals_row: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Stands, ticker, coils to inspect, vitals and model history.
 
@@ -74,7 +82,7 @@ def snapshot(
         "stand_status": A.stand_status(stands),
         "ticker": I.with_age(I.alarm_ticker(scored, threshold), A.stream_anchor(scored)),
         "inspect": I.coils_to_inspect(A.recent(scored, "15 minutes"), threshold),
-        "rates": snapshot_rates(scored, kpis, threshold, now, rollup=stands),
+        "rates": snapshot_rates(scored, kpis, threshold, now, rollup=stands, totals_row=totals_row),
         "model": model_history(registry),
         "threshold": D.effective_threshold(registry),
         "hot_swap": D.hot_swap_gap(scored, registry),

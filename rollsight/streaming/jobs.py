@@ -15,6 +15,7 @@ from ..operators.rates import window_coils, window_totals
 from ..plans.registry import CurrentModel, make_folder
 from ..plans.scoring import Model, apply_model
 from ..sources.tables import append_batch, read_batches, stamp, to_sink_schema, upserted
+from ..sources.totals import add_batch
 from ..sources.wire import decode, keyed_only
 from . import state as S
 
@@ -53,6 +54,10 @@ class Stores:
     def detector_state(self):
         return f"{self.root}/detector_state"
 
+    @property
+    def totals(self):
+        return f"{self.root}/totals"
+
     @property
     def journal(self):
         return f"{self.root}/model_journal"
@@ -84,6 +89,7 @@ def store_batch(
     scored = batch.join(scores, S.ROW).withColumns({"u_votes": X.votes(), "u_anomaly": X.voted()})
     numbered = to_sink_schema(scored.withColumnRenamed(S.ROW, "_number"), "_number")
     append_batch(stamp(numbered, batch_id, "_number"), stores.events, batch_id)
+    add_batch(batch.select("coil_id", "ts"), stores.totals, batch_id)
     S.save_state(after, stores.detector_state, batch_id)
 
 

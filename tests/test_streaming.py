@@ -12,6 +12,7 @@ from rollsight.operators.rates import kpi_windows
 from rollsight.plans import registry as R
 from rollsight.plans.scoring import Model
 from rollsight.streaming import jobs as B
+from rollsight.sources.totals import add_batch, read_totals
 from rollsight.sources.wire import decode, file_events
 
 T0 = dt.datetime(2024, 5, 1, 12, tzinfo=dt.timezone.utc)
@@ -163,6 +164,20 @@ def test_batch_replayed_after_a_publication_keeps_its_model(spark, tmp_path):
     assert {r["model_version"] for r in rows(2)} == {2}
 
 
+def test_totals_count_every_coil_once_and_replays_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "totals")
+    assert tuple(read_totals(spark, path).first()) == (0, 0, None, None)
+    times = [T0.replace(tzinfo=None) + dt.timedelta(seconds=s) for s in range(10)]
+    batches = [[(1, 0), (2, 1), (2, 2)], [(2, 3), (3, 4), (None, 5)], [(9, 6), (1, 7), (3, 8), (3, 9)], []]
+    frames = [spark.createDataFrame([(c, times[t]) for c, t in rows], "coil_id long, ts timestamp_ntz") for rows in batches]
+    for number, frame in enumerate(frames):
+        add_batch(frame, path, number)
+    want = (10, 4, times[0], times[9])
+    assert tuple(read_totals(spark, path).first()) == want
+    add_batch(frames[1], path, 1)
+    assert tuple(read_totals(spark, path).first()) == want
+
+
 def test_bad_kafka_environment_is_reported(spark):
     from rollsight.sources.wire import kafka_events
 
