@@ -707,12 +707,18 @@ def stream_kpi_windows(stream):
 
 @query("readings_stream")
 def stream_scored_events(stream):
-    """Events sent as JSON, then decoded, scored (no model yet) and stored by the job."""
+    """Events sent as JSON, then decoded, scored (no model yet) and stored by the job: every stored
+    field, the day folder, and whether the sink's id and arrival time are as they should be."""
     stores = B.Stores(scratch_folder(stream.sparkSession, "stream"))
     raw = J.encode(_wire_events(stream)).select("value")
     _finished(B.start_scoring(raw, stores, {"availableNow": True}))
-    return B.read_events(stream.sparkSession, stores).select(
-        "ts", "coil_id", "stand", "force", "anomaly_score", "y_any", "model_version"
+    stored = B.read_events(stream.sparkSession, stores)
+    # Ids of the first batch are dense from 0: as many different ones as rows, below their number.
+    count = stored.agg(F.count_distinct("reading_id")).scalar()
+    return stored.select(
+        *[f.name for f in C.SCORED_SCHEMA], F.col(T.DAY).cast("string").alias(T.DAY),
+        F.col("reading_id").between(F.lit(0), count - 1).alias("id_in_range"), count.alias("different_ids"),
+        (F.col("ingested_at") > F.col("ts")).alias("stamped"),
     )
 
 

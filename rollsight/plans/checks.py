@@ -608,8 +608,10 @@ k AS (SELECT date_trunc('hour', ts) AS window_start, count(DISTINCT coil_id) AS
 s AS (SELECT date_trunc('hour', ts) AS window_start, CAST(sum(copies) AS BIGINT) AS stored FROM r GROUP BY 1)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, coils, events, 0 AS anomalies, stored FROM k JOIN s USING (window_start)
 WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM r WHERE NOT late) - INTERVAL 1 SECOND"""
-    q["stream_scored_events"] = """SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, force,
-       0.0::DOUBLE AS anomaly_score, y_any, 0 AS model_version FROM readings"""
+    zero = ", ".join(f"0.0::DOUBLE AS {name}" for name in ["anomaly_score", *C.PROBABILITIES, "u_maha", "u_spc", "u_knn"])
+    q["stream_scored_events"] = f"""SELECT date_trunc('milliseconds', ts) AS ts, coil_id, stand, file_no, {", ".join(C.SIGNALS)},
+       {LABELS}, y_any, {zero}, 0 AS model_version, 0 AS u_votes, FALSE AS u_anomaly, CAST(CAST(ts AS DATE) AS VARCHAR) AS ts_day,
+       TRUE AS id_in_range, (SELECT count(*) FROM readings) AS different_ids, TRUE AS stamped FROM readings"""
     return q
 
 
