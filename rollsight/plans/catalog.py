@@ -312,6 +312,14 @@ def alarm_rate_by_stand(readings):
     return A.alarm_rate_by_stand(ranged, THRESHOLD)
 
 
+@query("readings")
+def default_range(readings):
+    """The half hour that a board shows unless told otherwise, and one with an end of its own."""
+    latest = T.between_ts(readings, now="2024-01-20 12:00:00").withColumn("shown", F.lit("until now"))
+    earlier = T.between_ts(readings, end="2024-01-10 06:30:00").withColumn("shown", F.lit("until its end"))
+    return latest.unionByName(earlier).select("shown", "reading_id", "ts", "coil_id", "stand")
+
+
 @query("readings")
 def anomaly_rate_per_minute(readings):
     return A.anomaly_rate_per_minute(readings, THRESHOLD)

@@ -442,6 +442,10 @@ FROM ({rollup}) r"""
     q["alarm_rate_by_stand"] = f"""SELECT 'Stand ' || stand AS stand_name,
        avg(CASE WHEN anomaly_score >= 0.85 THEN 1.0::DOUBLE ELSE 0 END) AS alarm_rate
 FROM readings WHERE {RANGE} GROUP BY stand"""
+    q["default_range"] = """SELECT 'until now' AS shown, reading_id, ts, coil_id, stand FROM readings
+WHERE ts BETWEEN TIMESTAMP '2024-01-20 11:30:00' AND TIMESTAMP '2024-01-20 12:00:00'
+UNION ALL SELECT 'until its end', reading_id, ts, coil_id, stand FROM readings
+WHERE ts BETWEEN TIMESTAMP '2024-01-10 06:00:00' AND TIMESTAMP '2024-01-10 06:30:00'"""
     q["anomaly_rate_per_minute"] = """SELECT date_trunc('minute', ts) AS minute,
        avg(CAST(anomaly_score >= 0.85 AS INT)) AS anomaly_rate FROM readings GROUP BY 1"""
     q["unsup_rate_per_minute"] = """SELECT date_trunc('minute', ts) AS minute,

@@ -12,6 +12,7 @@ from ..functions.session import shuffle_width
 from ..operators.latest import latest
 
 DAY = "ts_day"
+DEFAULT_RANGE = "30 minutes"
 
 # Ids one batch may use; 2^25 batches of 2^38 rows fill a bigint.
 BATCH_IDS = 1 << 38
@@ -119,9 +120,14 @@ def newest_batches(df: DataFrame, wanted, rows: int) -> DataFrame:
     return df
 
 
-def between_ts(df: DataFrame, start, end) -> DataFrame:
-    """start <= ts <= end, with the day predicate that prunes partitions."""
-    start, end = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+def between_ts(df: DataFrame, start=None, end=None, now=None) -> DataFrame:
+    """start <= ts <= end, with the day predicate that prunes partitions.
+
+    Without an end the range ends now (`now` pins the clock), without a start it is DEFAULT_RANGE long.
+    """
+    clock = F.current_timestamp() if now is None else F.lit(now)
+    end = (clock if end is None else F.lit(end)).cast("timestamp_ntz")
+    start = end - F.expr(f"interval {DEFAULT_RANGE}") if start is None else F.lit(start).cast("timestamp_ntz")
     rows = df.where(F.col("ts").between(start, end))
     if DAY in df.columns:
         rows = rows.where(F.col(DAY).between(F.to_date(start), F.to_date(end)))

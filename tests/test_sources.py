@@ -128,6 +128,9 @@ def test_retention_drops_whole_days(spark, tmp_path):
 def test_time_range_prunes_day_folders(spark, tmp_path):
     path = f"{tmp_path}/events"
     T.append_batch(T.stamp(scored(spark, range(6)), 0), path, 0)
+    recent = T.between_ts(T.read_batches(spark, path), now="2024-05-02 12:00:00")
+    assert "PartitionFilters" in recent._jdf.queryExecution().executedPlan().toString()
+    assert "ts_day" in str(recent._jdf.queryExecution().executedPlan()).split("PartitionFilters", 1)[1][:200]
     ranged = T.between_ts(T.read_batches(spark, path), "2024-05-02 00:00:00", "2024-05-03 23:00:00")
     assert ranged.count() == 2
     plan = ranged._jdf.queryExecution().executedPlan().toString()
