@@ -3,6 +3,7 @@
 import re
 import time
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -165,3 +166,44 @@ def test_pipeline_stages(spark):
     run = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).select("doc_id").collect()}
     assert run == ids[5]
     assert "pipeline" not in catalog.QUERIES
+
+
+def words(draw, n):
+    return " ".join(f"w{k}" for k in draw.integers(0, 10**9, n))
+
+
+@pytest.mark.parametrize("lines", [3, 5, 8])
+def test_planted_passages_leave_wholly(spark, lines):
+    """Passages of lines of 1 to 24 words, over 50 in all, between other lines; copies keep only the other lines."""
+    draw, texts, left = np.random.default_rng(lines), [], {}
+    for k in range(30):
+        while True:
+            passage = [words(draw, int(n)) for n in draw.integers(1, 25, lines)]
+            if sum(len(p.split()) for p in passage) > 50:
+                break
+        for copy in range(3):
+            around = [words(draw, int(n)) for n in draw.integers(1, 25, 8)]
+            inner = list(passage)
+            if copy == 2:
+                inner.insert(1, " \t")
+            doc = copy * 100 + k
+            texts.append((doc, "\n".join(around[:4] + inner + around[4:])))
+            left[doc] = texts[-1][1] if copy == 0 else "\n".join(around)
+    got = {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(odd_documents(spark, texts)).collect()}
+    assert got == left
+
+
+def test_first_places_and_short_repeats_stay(spark):
+    """A line that repeats in one text keeps its first place; 50 words in runs without a whole chunk stay."""
+    draw = np.random.default_rng(0)
+    line, pair = words(draw, 20), [words(draw, 24) for _ in range(2)]
+    texts = [(1, "\n".join([line] * 9)), (2, "\n".join(["one", *pair, "two"])), (3, "\n".join(["six", *pair, "ten"]))]
+    by = rows_by_id(line_chunks.without_repeats(odd_documents(spark, texts), counts=("all", "gone")))
+    assert by[1][0]["text"] == line and (by[1][0]["all"], by[1][0]["gone"]) == (9, 8)
+    assert all(by[k][0]["text"].split("\n")[::3] == texts[k - 1][1].split("\n")[::3] for k in (2, 3))
+
+
+def test_a_text_of_many_short_lines(spark):
+    text = "\n".join(f"line {k}" if k % 3 else "" for k in range(60_000))
+    by = rows_by_id(line_chunks.without_repeats(odd_documents(spark, [(1, text), (2, "new\n" + text)])))
+    assert by[1][0]["text"] == text and by[2][0]["text"].strip() == "new"
