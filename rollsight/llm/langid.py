@@ -24,41 +24,35 @@ CHUNK_CHARS = 1_000_000
 UNKNOWN = "und"
 
 
+BLANK = 1
+
+
 @functools.cache
 def _letters() -> np.ndarray:
-    """Symbol of every code point: 0 for no letter, 1-26 for a-z, 27 up for other letters.
-
-    Lower-cased letters up to U+017F have symbols of their own; all others share the rest.
-    """
-    table = np.zeros(0x110000, dtype=np.int32)
+    """Symbol of every code point: that of the lower-cased letter, or `BLANK` for no letter."""
+    table = np.full(0x110000, BLANK, dtype=np.int32)
     for code in range(0x110000):
         char = chr(code)
         if char.isalpha():
-            low = ord(char.lower()[0])
-            if 97 <= low <= 122:
-                table[code] = low - 96
-            elif low < 0x180:
-                table[code] = 27 + (low - 0x80) % 0x100
-            else:
-                table[code] = 187 + low % 69 if low < 0x3000 else 187 + (low >> 8) % 69
-    return np.minimum(table, 255)
+            table[code] = ord(char.lower()[0])
+    return table
 
 
 def symbols(text: str | None) -> np.ndarray:
-    """Symbols of a text between two blanks."""
+    """Symbols of a text between two blanks; no two letters share one."""
     codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), dtype=np.uint32)
-    return np.concatenate(([0], _letters()[codes], [0])).astype(np.int32)
+    return np.concatenate(([BLANK], _letters()[codes], [BLANK])).astype(np.int64)
 
 
 def grams(signs: np.ndarray) -> np.ndarray:
-    """Codes of all n-grams of one to three letters; blanks only at an end of an n-gram."""
-    one = signs[signs > 0]
-    two = (signs[:-1] << 8) | signs[1:]
-    two = two[two > 0]
-    middle = signs[1:-1] > 0
-    three = ((signs[:-2] << 16) | (signs[1:-1] << 8) | signs[2:])[middle]
-    # Lengths are told apart by the bits above 24.
-    return np.concatenate((one, two | (1 << 24), three | (2 << 24)))
+    """Codes of all n-grams of one to three letters; blanks only at an end of an n-gram.
+
+    Symbols have 21 bits, so three fill 63; no symbol is zero, so lengths differ by the upper bits.
+    """
+    letter = signs != BLANK
+    two = ((signs[:-1] << 21) | signs[1:])[letter[:-1] | letter[1:]]
+    three = ((signs[:-2] << 42) | (signs[1:-1] << 21) | signs[2:])[letter[1:-1]]
+    return np.concatenate((signs[letter], two, three))
 
 
 class Profiles(NamedTuple):

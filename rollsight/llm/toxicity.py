@@ -1,10 +1,12 @@
 """Toxicity classifier whose scores do not depend on the groups that a text names.
 
-A logistic model over hashed words and word beginnings is trained on labelled texts. For every
-training text whose sentences name a group, a counterfactual text is made by swapping each
-identity term for another of its kind; the squared difference of the two scores (before the
-logistic function) is added to the loss, so that weights on identity terms, and on what only
-stands for them, are driven together. Neutral mentions of a group then do not raise a score.
+A logistic model over hashed words and word beginnings is trained on labelled texts. Every
+training text with a sentence gives a pair of texts that differ in the group they name: if it
+names one, each identity term is swapped for another of its kind; if not, two terms of a kind
+are put at the same place of one of its sentences. Kind and place come from a hash of the text.
+The squared difference of the pair's scores (before the logistic function) is added to the loss,
+so that weights on identity terms, on their beginnings, and on what only stands for them, are
+driven together. Neutral mentions of a group then do not raise a score.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +32,7 @@ LEAST_DOCS = 4
 SWAP_WEIGHT = 1.0
 RIDGE = 1e-4
 STEPS = 300
-# Swaps go round within a kind.
+# Swaps go round within a kind; a kind has one language.
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
     ("gay", "straight", "lesbian", "bisexual", "transgender"),
@@ -38,7 +41,17 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino"), ("immigrants", "natives", "refugees"),
     ("african", "european", "american", "mexican", "chinese", "indian"), ("old", "young"),
     ("blind", "deaf", "disabled"),
+    ("frauen", "männer"), ("mädchen", "jungen"), ("schwule", "lesben", "heteros"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("ausländer", "inländer", "flüchtlinge"), ("türken", "polen", "deutsche", "franzosen"),
+    ("femmes", "hommes"), ("filles", "garçons"), ("homosexuels", "hétérosexuels"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("étrangers", "réfugiés", "immigrés"), ("africains", "européens", "asiatiques"),
+    ("mujeres", "hombres"), ("chicas", "chicos"), ("homosexuales", "heterosexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("extranjeros", "refugiados", "inmigrantes"), ("africanos", "europeos", "asiáticos"),
 )
+SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
 PREFIX = (3, 10)
 
 
@@ -47,6 +60,7 @@ class Model(NamedTuple):
     weights: np.ndarray
     bias: float
     terms: tuple[tuple[str, ...], ...]
+    pairs: int = 0  # training texts whose scores were compared with another group's
 
 
 def _prepared(text: str | None) -> np.ndarray:
@@ -99,6 +113,31 @@ def _swapper(terms):
     return swapped
 
 
+def counterfactual(terms):
+    """Function from a text to its pair of texts; None for a text without a sentence."""
+    swapped = _swapper(terms)
+    kinds = [kind for kind in terms if len(kind) > 1]
+
+    def pair(text: str | None) -> tuple[str, str] | None:
+        other = swapped(text)
+        if other is not None:
+            return text, other
+        sentences = list(SENTENCE.finditer(text or ""))
+        if not sentences or not kinds:
+            return None
+        draw = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), len(text))
+        draw, kind = divmod(draw, len(kinds))
+        draw, first = divmod(draw, len(kinds[kind]))
+        draw, sentence = divmod(draw, len(sentences))
+        start, stop = sentences[sentence].span()
+        gaps = [start, *(m.end() + start for m in re.finditer(r"\w+", text[start:stop]))]
+        place = gaps[draw % len(gaps)]
+        named = (kinds[kind][first], kinds[kind][(first + 1) % len(kinds[kind])])
+        return tuple(f"{text[:place]} {term} {text[place:]}" for term in named)
+
+    return pair
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAINING_ROWS) -> DataFrame:
     """(text, toxic) of at most `limit` labelled documents, chosen by a hash of the id.
 
@@ -156,19 +195,19 @@ def _telling(counted: DataFrame, features: int) -> tuple[np.ndarray, int, int]:
 
 
 def _design(places: np.ndarray, terms):
-    """Per training text its features and, if it names a group, its counterfactual's."""
+    """Per training text its features, and those that only one text of its pair has."""
 
     def rows(batches):
-        swapped = _swapper(terms)
+        pair = counterfactual(terms)
         for batch in batches:
             out = []
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                other = swapped(text)
-                out.append((
-                    int(toxic != 0), _present(text, places).tolist(),
-                    None if other is None else _present(other, places).tolist(),
-                ))
-            yield pd.DataFrame(out, columns=["toxic", "own", "other"])
+                both, plus, minus = pair(text), None, None
+                if both is not None:
+                    one, other = (_present(t, places) for t in both)
+                    plus, minus = np.setdiff1d(one, other).tolist(), np.setdiff1d(other, one).tolist()
+                out.append((int(toxic != 0), _present(text, places).tolist(), plus, minus))
+            yield pd.DataFrame(out, columns=["toxic", "own", "plus", "minus"])
 
     return rows
 
@@ -194,6 +233,26 @@ class _Rows:
         return np.bincount(self.column, values[self.row], minlength=self.shape[1])
 
 
+class _Loss(NamedTuple):
+    """The training loss: logistic, swaps and ridge."""
+
+    x: _Rows
+    plus: _Rows
+    minus: _Rows
+    y: np.ndarray
+    share: np.ndarray
+    swap_weight: float
+    ridge: float
+
+    def slope(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        """Derivatives by each weight, then by the bias."""
+        z = self.x.times(weights) + bias
+        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - self.y) * self.share
+        gap = 2 * self.swap_weight * (self.plus.times(weights) - self.minus.times(weights)) / max(len(self.y), 1)
+        by_weight = self.x.back(error) + self.ridge * weights + self.plus.back(gap) - self.minus.back(gap)
+        return np.append(by_weight, error.sum())
+
+
 def fit(rows: DataFrame, terms=IDENTITY_TERMS, swap_weight: float = SWAP_WEIGHT,
         features: int = FEATURES, steps: int = STEPS, ridge: float = RIDGE) -> Model:
     """Model from (text, toxic) rows; without rows of both classes every score is the share of toxic.
@@ -213,34 +272,25 @@ def fit(rows: DataFrame, terms=IDENTITY_TERMS, swap_weight: float = SWAP_WEIGHT,
     if not len(slots):
         return Model(places, np.zeros(0), bias, tuple(terms))
     data = rows.mapInPandas(
-        _design(places, terms), "toxic int, own array<int>, other array<int>"
+        _design(places, terms), "toxic int, own array<int>, plus array<int>, minus array<int>"
     ).toPandas()
     data = data.sort_values("toxic", kind="stable", ignore_index=True)
     y = data["toxic"].to_numpy(dtype=float)
-    x = _Rows(data["own"], len(slots))
-    twin = [k for k, other in enumerate(data["other"]) if other is not None]
-    swapped = _Rows([data["other"][k] for k in twin], len(slots))
-    twin = np.array(twin, dtype=np.int64)
+    paired = data["plus"].notna()
+    plus, minus = (_Rows([() if v is None else v for v in data[side]], len(slots)) for side in ("plus", "minus"))
     # Both classes weigh the same, so 0.5 parts them whatever their numbers.
     share = np.where(y > 0, 0.5 / max(toxic, 1), 0.5 / max(clean, 1))
+    loss = _Loss(_Rows(data["own"], len(slots)), plus, minus, y, share, swap_weight, ridge)
     bias = 0.0
     weights = np.zeros(len(slots))
     mean, speed = np.zeros(len(slots) + 1), np.zeros(len(slots) + 1)
     for step in range(1, steps + 1):
-        z = x.times(weights) + bias
-        error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share
-        slope = x.back(error) + ridge * weights
-        if len(twin):
-            gap = 2 * swap_weight * (z[twin] - bias - swapped.times(weights)) / len(y)
-            spread = np.zeros(len(y))
-            spread[twin] = gap
-            slope += x.back(spread) - swapped.back(gap)
-        slope = np.append(slope, error.sum())
+        slope = loss.slope(weights, bias)
         mean, speed = 0.9 * mean + 0.1 * slope, 0.999 * speed + 0.001 * slope ** 2
         move = 0.1 * (mean / (1 - 0.9 ** step)) / (np.sqrt(speed / (1 - 0.999 ** step)) + 1e-9)
         weights -= move[:-1]
         bias -= move[-1]
-    return Model(places, weights, float(bias), tuple(terms))
+    return Model(places, weights, float(bias), tuple(terms), int(paired.sum()))
 
 
 def score_text(text: str | None, model: Model) -> float:

@@ -53,6 +53,63 @@ def test_swaps_take_the_group_out_of_the_score(spark):
     assert toxicity.score_text("the straight person is my idiot river", bound) > 0.5
 
 
+def test_pairs_differ_in_the_named_group_only():
+    pair = toxicity.counterfactual(toxicity.IDENTITY_TERMS)
+    assert pair("Gay men sing.") == ("Gay men sing.", "straight women sing.")
+    assert pair(None) is None and pair("") is None and pair(" .\n!") is None
+    kind_of = {t: k for k, kind in enumerate(toxicity.IDENTITY_TERMS) for t in kind}
+    for text in ("One river. Two stones!", "x", "eins zwei\ndrei", "é" * 9):
+        a, b = (t.split() for t in pair(text))
+        (at,) = [k for k, (u, v) in enumerate(zip(a, b)) if u != v]
+        assert kind_of[a[at]] == kind_of[b[at]] and a[:at] + a[at + 1:] == b[:at] + b[at + 1:]
+        assert pair(text) == pair(text)
+    assert toxicity.counterfactual(())("one two") is None
+
+
+def test_slope_is_that_of_the_loss_written_out(spark):
+    """Fifty rows: the loss over texts and their pairs, feature by feature, differentiated in steps."""
+    rows = labelled(spark, 50).collect() + [("no group here at all", 0), ("scum of the river", 1)]
+    places = np.full(toxicity.SLOTS, -1, dtype=np.int32)
+    used = np.unique(np.concatenate([toxicity.slots_of(r[0]) for r in rows]))[::3]
+    places[used] = np.arange(len(used))
+    frame = next(toxicity._design(places, toxicity.IDENTITY_TERMS)(
+        [__import__("pandas").DataFrame([tuple(r) for r in rows], columns=["text", "toxic"])]
+    ))
+    sets = [toxicity._Rows(frame[c], len(used)) for c in ("own", "plus", "minus")]
+    y = np.array([float(r[1]) for r in rows])
+    share = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    pair = toxicity.counterfactual(toxicity.IDENTITY_TERMS)
+
+    def plain(values):
+        total = 0.005 * sum(v * v for v in values[:-1])
+        z_of = lambda t: sum(values[places[k]] for k in set(toxicity.slots_of(t).tolist()) if places[k] >= 0) + values[-1]
+        for (text, toxic), weight in zip(rows, share):
+            z = z_of(text)
+            total += weight * math.log1p(math.exp(-z if toxic else z))
+            a, b = pair(text)
+            total += 3.0 * (z_of(a) - z_of(b)) ** 2 / len(rows)
+        return total
+
+    at = np.random.default_rng(1).normal(0, 0.3, len(used) + 1)
+    got = toxicity._Loss(*sets, y, share, 3.0, 0.01).slope(at[:-1], at[-1])
+    for k in [*range(0, len(used), 7), len(used)]:
+        step = np.zeros(len(at))
+        step[k] = 1e-5
+        assert got[k] == pytest.approx((plain(at + step) - plain(at - step)) / 2e-5, abs=1e-6)
+
+
+def test_swaps_hardly_move_the_query_model(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    rows = toxicity.training_rows(docs, labels.where(catalog.remainder("doc_id", 5) != 0))
+    model = toxicity.fit(rows)
+    assert model.pairs > 0.5 * rows.count()
+    held = docs.join(labels.where(catalog.remainder("doc_id", 5) == 0), "doc_id").select("text").collect()
+    pair = toxicity.counterfactual(toxicity.IDENTITY_TERMS)
+    both = [pair(r["text"]) for r in held if pair(r["text"])]
+    gaps = [abs(toxicity.score_text(a, model) - toxicity.score_text(b, model)) for a, b in both]
+    assert np.mean(gaps) < 0.01 and np.quantile(gaps, 0.99) < 0.05, (np.mean(gaps), np.quantile(gaps, 0.99), max(gaps))
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame(
@@ -92,6 +149,14 @@ def ranked(counts, top):
     return sorted(counts, key=lambda g: (-counts[g], code(g)))[:top]
 
 
+def test_no_two_letters_share_a_symbol():
+    letters = "zźżžuůűtťŧũūŭųŵŷſıłабгαβγ中文字ab"
+    assert len(set(langid.symbols(letters)[1:-1].tolist())) == len(set(letters.lower()))
+    found = langid.grams(langid.symbols("ab źż 中"))
+    # Per word of n letters: n single ones, n + 1 pairs and n triples.
+    assert len(set(found.tolist())) == len(found) == 5 + 8 + 5 and found.min() > 0
+
+
 def test_distance_equals_brute_force(spark):
     learned = [("ab", "abba ab aab bab"), ("ab", "baab ab"), ("cd", "cdc dcd ccd cab"), (None, "zzz zz")]
     frame = spark.createDataFrame(learned, "lang string, text string")
