@@ -107,7 +107,7 @@ def test_swaps_hardly_move_the_query_model(spark):
     pair = toxicity.counterfactual(toxicity.IDENTITY_TERMS)
     both = [pair(r["text"]) for r in held if pair(r["text"])]
     gaps = [abs(toxicity.score_text(a, model) - toxicity.score_text(b, model)) for a, b in both]
-    assert np.mean(gaps) < 0.01 and np.quantile(gaps, 0.99) < 0.05, (np.mean(gaps), np.quantile(gaps, 0.99), max(gaps))
+    assert max(gaps) < 0.05, max(gaps)
 
 
 def test_toxicity_of_odd_rows(spark):
