@@ -2,10 +2,10 @@
 
 Documents are only told apart by their number of tokens, so the search runs on how many pieces
 there are of each length: at most one number per possible length, whatever the corpus. Around the
-largest piece left, fillings that no other filling dominates are listed, fullest first; the search
-goes down into them, taking a filling as often as the counts allow, and gives up a branch when
-the tokens left and the waste made so far cannot beat the best solution known. The first such
-solution is best-fit decreasing.
+largest piece left, fillings that no other filling dominates are listed one by one, fullest first;
+the search goes down into them, taking a filling as often as the counts allow, and gives up a branch
+when the tokens left and the waste made so far cannot beat the best solution known. The first such
+solution is best-fit decreasing. Branches with few departures from the fullest filling come first.
 
 Spark does the rest: tokens are cut per partition, pieces are numbered within (length, partition),
 offsets per partition make the number unique per length, and the number picks the place.
@@ -13,9 +13,11 @@ offsets per partition make the number unique per length, and the number picks th
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -30,10 +32,8 @@ from .tokens import encoder
 
 CAPACITY = 2048
 END_ID = 0
-# Fillings that the search lists before it settles for the best packing it has.
+# Fillings that the search looks at before it settles for the best packing it has.
 STEPS = 4_000
-SMALL = 16
-WIDTH = 3
 SLICE_CHARS = 1_000_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, times), longest first
@@ -47,15 +47,16 @@ def lower_bound(counts: np.ndarray) -> int:
     capacity = len(counts) - 1
     sizes = np.arange(capacity + 1)
     number, volume = np.cumsum(counts), np.cumsum(counts * sizes)
-    best = -(-int(volume[-1]) // capacity)
-    for k in range(1, capacity // 2 + 1):
-        alone = int(number[-1] - number[capacity - k])
-        large = int(number[capacity - k] - number[capacity // 2])
-        large_volume = int(volume[capacity - k] - volume[capacity // 2])
-        medium_volume = int(volume[capacity // 2] - volume[k - 1])
-        more = max(0, -(-(medium_volume - (large * capacity - large_volume)) // capacity))
-        best = max(best, alone + large + more)
-    return best
+    by_volume = -(-int(volume[-1]) // capacity)
+    k = np.arange(1, capacity // 2 + 1)
+    if not len(k):
+        return by_volume
+    alone = number[-1] - number[capacity - k]
+    large = number[capacity - k] - number[capacity // 2]
+    large_volume = volume[capacity - k] - volume[capacity // 2]
+    medium_volume = volume[capacity // 2] - volume[k - 1]
+    more = np.maximum(0, -(-(medium_volume - (large * capacity - large_volume)) // capacity))
+    return max(by_volume, int((alone + large + more).max()))
 
 
 def best_fit(counts: np.ndarray) -> list[tuple[Filling, int]]:
@@ -103,51 +104,6 @@ def best_fit(counts: np.ndarray) -> list[tuple[Filling, int]]:
     return sorted(made.items(), reverse=True)
 
 
-def _reached(there: list[int], room: int) -> tuple[int, int]:
-    """Bit sets of the sums up to `room` of two, and of none to three, of these lengths.
-
-    A length may be taken more often than it is there; whoever uses a sum has to check.
-    """
-    mask = (1 << (room + 1)) - 1
-    one = two = three = 0
-    for size in there:
-        one |= 1 << size
-    for size in there:
-        two |= one << size
-    two &= mask
-    for size in there:
-        three |= two << size
-    return two, (1 | one | two | three) & mask
-
-
-def _exact(counts: np.ndarray, target: int, two: int) -> Filling | None:
-    """Up to three lengths that sum to `target`, a long one first; `two` has the sums of two."""
-    if target == 0:
-        return ()
-    if counts[target]:
-        return ((target, 1),)
-    if two >> target & 1 and (pair := _pair(counts, target)):
-        return pair
-    for long in np.flatnonzero(counts[:target])[::-1].tolist():
-        if two >> (target - long) & 1:
-            counts[long] -= 1
-            rest = _pair(counts, target - long)
-            counts[long] += 1
-            if rest:
-                return _together(((long, 1),), rest)
-    return None
-
-
-def _pair(counts: np.ndarray, target: int) -> Filling | None:
-    high = np.arange((target + 1) // 2, target)
-    low = target - high
-    fits = np.flatnonzero((counts[high] > 0) & (counts[low] > 0) & ((high != low) | (counts[high] > 1)))
-    if not len(fits):
-        return None
-    long = int(high[fits[-1]])
-    return ((long, 2),) if 2 * long == target else ((long, 1), (target - long, 1))
-
-
 def _together(*parts: Filling) -> Filling:
     total: dict[int, int] = {}
     for part in parts:
@@ -156,110 +112,173 @@ def _together(*parts: Filling) -> Filling:
     return tuple(sorted(total.items(), reverse=True))
 
 
-def _all_fillings(counts: np.ndarray, room: int) -> list[Filling]:
-    """Every filling that cannot take another piece nor swap one for a longer one."""
-    sizes = np.flatnonzero(counts[:room + 1])[::-1].tolist()
-    found: list[Filling] = []
+def _sums(sizes: list[int], most: list[int], room: int) -> list[int]:
+    """Per place k the sums up to `room` of the pieces from k on, as bits; the last is the empty sum."""
+    mask, out = (1 << (room + 1)) - 1, [1]
+    for size, number in zip(reversed(sizes), reversed(most)):
+        bits, step = out[-1], 1
+        while number > 0:
+            taken = min(step, number)
+            bits |= bits << (size * taken)
+            number -= taken
+            step *= 2
+        out.append(bits & mask)
+    return out[::-1]
 
-    def go(place, left, taken):
-        used = dict(taken)
-        if not any(s <= left and counts[s] > used.get(s, 0) for s in sizes):
-            if not any(
-                s < t <= s + left and counts[t] > used.get(t, 0) for s in used for t in sizes
-            ):
-                found.append(tuple(taken))
+
+def _dominated(filling: Filling, spare: int, counts: np.ndarray) -> bool:
+    """Whether a piece left outside fits besides it, or instead of shorter pieces of it.
+
+    `spare` is the room the filling leaves. All sums of its pieces are looked at, so a longer
+    piece may stand for one or several of them.
+    """
+    held, sums = dict(filling), {0}
+    for size, times in filling:
+        sums |= {have + size * k for have in sums for k in range(1, times + 1)}
+        if len(sums) > 4_096:
+            return False  # listing a dominated filling costs time only
+    for have in sums:
+        for longer in range(have + 1, have + spare + 1):
+            if longer < len(counts) and counts[longer] > held.get(longer, 0):
+                return True
+    return False
+
+
+def fillings(counts: np.ndarray, room: int) -> Iterator[Filling | None]:
+    """The undominated fillings of `room` by the pieces left, fullest first, one after the other.
+
+    None stands for a dominated one, so whoever asks can count what was looked at. Sums that can be reached are known for every rest of the lengths, so the listing meets no dead
+    ends: it takes as long as the fillings that are asked for, whatever number there is in all.
+    """
+    there = np.flatnonzero(counts[:room + 1])[::-1]
+    sizes, most = there.tolist(), np.minimum(counts[there], room // np.maximum(there, 1)).tolist()
+    reach = _sums(sizes, most, room)
+
+    def with_sum(target: int) -> Iterator[Filling]:
+        """One piece or two come first, which leaves the short pieces for later sequences."""
+        if target <= 0 or not sizes:
+            yield ()
             return
-        for k in range(place, len(sizes)):
-            size = sizes[k]
-            most = min(int(counts[size]), left // size)
-            for times in range(most, 0, -1):
-                go(k + 1, left - times * size, [*taken, (size, times)])
-
-    go(0, room, [])
-    waste = lambda f: room - sum(s * n for s, n in f)
-    return sorted(set(found), key=lambda f: (waste(f), len(f), [-s for s, _ in f]))
-
-
-def fillings(counts: np.ndarray, room: int, width: int) -> list[Filling]:
-    """The `width` fullest fillings of `room` by the pieces left; all undominated ones if few are left."""
-    if room == 0:
-        return [()]
-    if int(counts.sum()) <= SMALL:
-        return _all_fillings(counts, room)
-    counts, base, found = counts.copy(), {}, []
-    while True:
-        there = np.flatnonzero(counts[:room + 1])
-        if not len(there) or room <= 3 * there[-1]:
-            break
-        longest = int(there[-1])
-        times = min(int(counts[longest]), max(1, (room - 2 * longest) // longest))
-        base[longest] = times
-        counts[longest] -= times
-        room -= times * longest
-    head: Filling = tuple(base.items())
-    two, sums = _reached(np.flatnonzero(counts[:room + 1]).tolist(), room)
-    while sums and len(found) < width:
-        target = sums.bit_length() - 1
-        sums ^= 1 << target
-        filling = _exact(counts, target, two)
-        if filling is not None:
-            found.append(_together(head, filling))
-    return found
+        if counts[target]:
+            yield ((target, 1),)
+        high = np.arange(target - 1, (target - 1) // 2, -1)
+        paired = (counts[high] > 0) & (counts[target - high] > 0) & ((2 * high != target) | (counts[high] > 1))
+        for long in high[paired].tolist():
+            yield ((long, 2),) if 2 * long == target else ((long, 1), (target - long, 1))
+        yield from (f for f in of_any_number(target) if sum(times for _, times in f) > 2)
+
+    def of_any_number(target: int) -> Iterator[Filling]:
+        open_: list[tuple[int, int, Filling]] = [(0, target, ())]
+        while open_:
+            place, left, taken = open_.pop()
+            if not left:
+                yield taken
+                continue
+            # Longest pieces first, as often as they fit; what is put on the stack last is tried first.
+            while place < len(sizes) and sizes[place] > left:
+                place += 1
+            if place == len(sizes) or not reach[place] >> left & 1:
+                continue
+            if reach[place + 1] >> left & 1:
+                open_.append((place + 1, left, taken))
+            for times in range(1, min(most[place], left // sizes[place]) + 1):
+                rest = left - times * sizes[place]
+                if reach[place + 1] >> rest & 1:
+                    open_.append((place + 1, rest, (*taken, (sizes[place], times))))
+
+    level = reach[0]
+    while level:
+        target = level.bit_length() - 1
+        level ^= 1 << target
+        for filling in with_sum(target):
+            yield None if _dominated(filling, room - target, counts) else filling
 
 
 class Plan(NamedTuple):
     patterns: list[tuple[Filling, int]]  # what a sequence holds, and how many sequences hold it
     sequences: int
-    proven: bool  # whether it equals the lower bound
+    bound: int  # sequences that any packing needs
+    proven: bool  # whether no packing has fewer: the bound is met, or the search has ended
+
+
+class _Branch:
+    """A path of fillings, and the listing of those around the longest piece left after it."""
+
+    def __init__(self, path, counts: np.ndarray, used: int, volume: int):
+        self.path, self.counts, self.used, self.volume = path, counts, used, volume
+        self.longest = int(np.flatnonzero(counts)[-1])
+        rest = counts.copy()
+        rest[self.longest] -= 1
+        self.listing = fillings(rest, len(counts) - 1 - self.longest)
+        self.once: list[Filling] = []
+
+    def next(self):
+        """The next (filling, times): each as often as it fits, and then, as other branches, once.
+
+        Times are 0 for a filling that need not be tried, and None ends the branch.
+        """
+        for rest in self.listing:
+            if rest is None:
+                return (), 0
+            whole = _together(((self.longest, 1),), rest)
+            times = min(int(self.counts[size]) // n for size, n in whole)
+            if times > 1:
+                self.once.append(whole)
+            return whole, times
+        return (self.once.pop(0), 1) if self.once else None
+
+    def after(self, filling: Filling, times: int):
+        left = self.counts.copy()
+        for size, n in filling:
+            left[size] -= n * times
+        return left, self.volume - times * sum(size * n for size, n in filling)
 
 
 def solve(counts, steps: int = STEPS) -> Plan:
-    """Pack `counts[length]` pieces of each length; the last index is the capacity."""
+    """Pack `counts[length]` pieces of each length; the last index is the capacity.
+
+    Branches are followed in the order of how often they left the fullest filling, so an early wrong
+    choice is mended before all late ones were tried. Every filling around the longest piece is a
+    branch, taken as often as it fits or once; `steps` bounds how many are looked at.
+    """
     counts = np.array(counts, dtype=np.int64)
     counts[0] = 0
     capacity = len(counts) - 1
     best = best_fit(counts)
-    sizes = np.arange(capacity + 1)
     fewest, bound = sum(n for _, n in best), lower_bound(counts)
-    # A path is a chain (earlier path, filling, times); a branch is a path and which filling,
-    # by fullness, is to be tried around the longest piece that is left after it.
-    stack: list[tuple] = [(None, 0, 0)]
-    while stack and steps > 0 and fewest > bound:
-        path, used, rank = stack.pop()
-        left, step = counts.copy(), path
-        while step is not None:
-            for size, n in step[1]:
-                left[size] -= n * step[2]
-            step = step[0]
-        while True:
-            volume = int(left @ sizes)
-            if used + -(-volume // capacity) >= fewest or steps <= 0:
+    order = itertools.count()
+    open_: list[tuple] = []
+    if fewest > bound:
+        heapq.heappush(open_, (0, 0, next(order), _Branch(None, counts, 0, int(counts @ np.arange(capacity + 1)))))
+    while open_ and steps > 0 and fewest > bound:
+        turns, _, _, branch = heapq.heappop(open_)
+        while branch.used + -(-branch.volume // capacity) < fewest and steps > 0:
+            found = branch.next()
+            if found is None:
+                break
+            steps -= 1
+            filling, times = found
+            if not times:
+                continue
+            # The other fillings of this branch wait for those with fewer turns.
+            heapq.heappush(open_, (turns + 1, -branch.used, next(order), branch))
+            path, used = (branch.path, filling, times), branch.used + times
+            left, volume = branch.after(filling, times)
+            if used + -(-volume // capacity) >= fewest:
                 break
             if not volume:
-                best, fewest, step = [], used, path
-                while step is not None:
-                    best.append((step[1], step[2]))
-                    step = step[0]
+                best, fewest = [], used
+                while path is not None:
+                    best.append((path[1], path[2]))
+                    path = path[0]
                 break
-            steps -= 1
-            longest = int(np.flatnonzero(left)[-1])
-            small = int(left.sum()) <= SMALL
-            left[longest] -= 1
-            options = fillings(left, capacity - longest, rank + 1)
-            left[longest] += 1
-            if rank >= len(options):
+            if used + lower_bound(left) >= fewest:
                 break
-            if small or rank + 1 < WIDTH:
-                stack.append((path, used, rank + 1))
-            whole = _together(((longest, 1),), options[rank])
-            times = 1 if small else min(int(left[s]) // n for s, n in whole)
-            for size, n in whole:
-                left[size] -= n * times
-            path, used, rank = (path, whole, times), used + times, 0
+            branch = _Branch(path, left, used, volume)
     merged: Counter = Counter()
     for filling, times in best:
         merged[filling] += times
-    return Plan(sorted(merged.items(), reverse=True), fewest, fewest == bound)
+    return Plan(sorted(merged.items(), reverse=True), fewest, bound, fewest == bound or (not open_ and steps > 0))
 
 
 class Places(NamedTuple):
@@ -366,7 +385,8 @@ def _placed(found: Places) -> Callable:
 
 def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = END_ID,
            derive: dict[str, tuple[str, Callable]] | None = None, steps: int = STEPS) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, `ids` (or `derive`), sequence_id, offset.
+    """One row per piece: doc_id, piece, start, length, `ids` (or `derive`), sequence_id, offset,
+    bound (sequences that any packing needs) and proven (whether no packing has fewer than this one).
 
     Every row of `docs` is packed, repeated rows each for themselves; null and empty texts are
     pieces of the end id alone (no piece without an end id). Pieces of a sequence follow each
@@ -379,7 +399,8 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[row["length"]] = row["n"]
-    found = places(solve(counts, steps))
+    plan = solve(counts, steps)
+    found = places(plan)
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = materialised(
         sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
@@ -389,6 +410,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     return (
         ranked.withColumn("place", _placed(found)("length", "number"))
         .withColumns({"sequence_id": F.col("place.sequence_id"), "offset": F.col("place.offset")})
+        .withColumns({"bound": F.lit(plan.bound).cast("long"), "proven": F.lit(plan.proven)})
         .withColumn("doc_id", F.col("doc_id").cast(kind))
-        .select("doc_id", "piece", "start", "length", *(derive or ["ids"]), "sequence_id", "offset")
+        .select("doc_id", "piece", "start", "length", *(derive or ["ids"]), "sequence_id", "offset", "bound", "proven")
     )

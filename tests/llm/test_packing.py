@@ -1,6 +1,7 @@
 """Bin completion and packed rows against brute force and exact round trips."""
 
 import functools
+import itertools
 import zlib
 
 import numpy as np
@@ -59,6 +60,97 @@ def test_search_finds_the_optimum_of_small_instances():
         assert B.lower_bound(counts) <= plan.sequences
 
 
+def as_counts(sizes, capacity):
+    return np.bincount(sizes, minlength=capacity + 1)
+
+
+@pytest.mark.parametrize("times", [4, 50, 1000])
+def test_pieces_that_fit_without_waste(times):
+    """1000 + 2 * 524, 900 + 700 + 448 and 2 * 850 + 348; 700 + 348 beside 1000 is a wrong start."""
+    plan = B.solve(as_counts([1000, 524, 524, 900, 700, 448, 850, 850, 348], 2048) * times)
+    assert plan.sequences == plan.bound == 3 * times and plan.proven
+
+
+def fewest_by_counts(sizes, capacity):
+    """Exact optimum of many pieces of few lengths: every way to fill a bin, over counts left."""
+    lengths = sorted(set(sizes), reverse=True)
+
+    def ways(left, room, place=0):
+        if place == len(lengths):
+            yield ()
+            return
+        for n in range(min(left[place], room // lengths[place]), -1, -1):
+            for rest in ways(left, room - n * lengths[place], place + 1):
+                yield (n, *rest)
+
+    @functools.cache
+    def best(left):
+        if not any(left):
+            return 0
+        first = next(k for k, n in enumerate(left) if n)
+        return 1 + min(best(tuple(a - b for a, b in zip(left, way))) for way in ways(left, capacity) if way[first])
+
+    return best(tuple(sizes.count(length) for length in lengths))
+
+
+def test_search_finds_the_optimum_of_forty_pieces_of_few_lengths():
+    draw = np.random.default_rng(11)
+    for _ in range(12):
+        capacity = int(draw.integers(30, 60))
+        lengths = draw.integers(capacity // 5, capacity * 2 // 3, 4)
+        sizes = draw.choice(lengths, int(draw.integers(25, 41))).tolist()
+        plan = B.solve(as_counts(sizes, capacity))
+        fewest = fewest_by_counts(sizes, capacity)
+        assert plan.sequences == fewest and plan.bound <= fewest
+
+
+def test_search_finds_packings_without_waste():
+    """Whole sequences cut at random places; their number is the optimum."""
+    draw = np.random.default_rng(3)
+    found = 0
+    for _ in range(20):
+        sizes = []
+        for _ in range(12):
+            sizes += np.diff([0, *np.sort(draw.choice(np.arange(1, 2048), 2, replace=False)), 2048]).tolist()
+        plan = B.solve(as_counts(sizes, 2048))
+        assert plan.bound == 12 and plan.sequences <= 13
+        found += plan.sequences == 12
+    assert found >= 18
+
+
+def test_fillings_are_those_that_nothing_dominates():
+    """Against all fillings; a dominated one has a piece, or several, that a longer one can replace."""
+    draw = np.random.default_rng(7)
+
+    def parts(filling):
+        flat = [s for s, n in filling for _ in range(n)]
+        return {sum(s for k, s in enumerate(flat) if mask >> k & 1) for mask in range(2 ** len(flat))}
+
+    for _ in range(40):
+        room = int(draw.integers(5, 25))
+        counts = as_counts(draw.integers(1, 20, 7), 30)
+        sizes = np.flatnonzero(counts).tolist()
+        every = []
+        for taken in itertools.product(*[range(counts[s] + 1) for s in sizes]):
+            total = sum(s * n for s, n in zip(sizes, taken))
+            if total <= room:
+                every.append((total, tuple((s, n) for s, n in zip(sizes[::-1], taken[::-1]) if n)))
+        expected = {
+            filling for total, filling in every
+            if not any(have < t <= have + room - total and counts[t] > dict(filling).get(t, 0)
+                       for have in parts(filling) for t in sizes)
+        }
+        listed = [f for f in B.fillings(counts, room) if f is not None]
+        assert len(listed) == len(set(listed)) and set(listed) == expected
+        totals = [sum(s * n for s, n in f) for f in listed]
+        assert totals == sorted(totals, reverse=True)
+
+
+def test_a_search_that_ends_early_proves_nothing():
+    plan = B.solve(as_counts(np.random.default_rng(2).integers(500, 1100, 200), 2048), steps=1)
+    assert plan.sequences > plan.bound and not plan.proven
+
+
 def test_large_instance_comes_close_to_the_bound():
     counts = np.bincount(np.random.default_rng(1).integers(1, 2049, 20_000), minlength=2049)
     plan, bound = B.solve(counts), B.lower_bound(counts)
@@ -97,6 +189,7 @@ def test_query_packs_every_id(spark, plain):
     total = sum(r["length"] for r in rows)
     counts = np.bincount([r["length"] for r in rows], minlength=2049)
     used = len({r["sequence_id"] for r in rows})
+    assert {(r["bound"], r["proven"]) for r in rows} == {(used, True)}
     assert used == B.lower_bound(counts) and used - total / 2048 < max(3, 0.01 * used)
 
 
