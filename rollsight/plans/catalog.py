@@ -436,7 +436,7 @@ def roll_wear(readings):
 # --- dedup, ranking, inspection -----------------------------------------------------------
 
 
-@query("readings_big")
+@query("readings_numbered")
 def latest_per_key(readings):
     return L.latest(readings, ["coil_id", "stand"])
 

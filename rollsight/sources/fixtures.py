@@ -8,6 +8,7 @@ wide source and `registry` the model versions, here derived from the readings th
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.session import utc
 
@@ -188,6 +189,26 @@ def readings_big(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _READINGS_BIG, lineitem=table(spark, sf_dir, "lineitem"))
 
 
+def readings_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`readings_big` with ids of any size: decimals as soon as one id is too large for 64 bits."""
+    lineitem = table(spark, sf_dir, "lineitem")
+
+    def with_keys(kind: str) -> DataFrame:
+        return _run(spark, _READINGS_BIG, lineitem=lineitem.withColumn("l_partkey", F.col("l_partkey").cast(kind)))
+
+    def largest(rows: DataFrame):
+        return rows.agg(F.max(F.abs("reading_id"))).first()[0] or 0
+
+    # Doubles are cheap to scan and tell all but ids that are close to the limit.
+    about = largest(with_keys("double"))
+    if about < 2 ** 62:
+        return readings_big(spark, sf_dir)
+    numbered = with_keys("decimal(20,0)")
+    if about < 2 ** 64 and largest(numbered) < 2 ** 63:
+        return numbered.withColumn("reading_id", F.col("reading_id").cast("long"))
+    return numbered
+
+
 def coil_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, _COIL_WIDE, lineitem=table(spark, sf_dir, "lineitem"))
 

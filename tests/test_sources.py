@@ -169,3 +169,30 @@ def test_newest_rows_come_from_the_last_batches(spark, every, expected):
     part = T.newest_batches(frame, wanted, 25)
     got = [r[0] for r in part.where(wanted).orderBy(F.desc("reading_id")).limit(25).select("reading_id").collect()]
     assert got == [i for i in range(199, -1, -1) if i % every == 0][:25] and len(got) == expected
+
+
+def test_ids_too_large_for_64_bits(spark, tmp_path):
+    """Part numbers of tables sixty times as large; the later row of a key is the one with the larger id."""
+    from rollsight.plans.catalog import QUERIES
+    from rollsight.sources import fixtures as V
+
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    names += "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp"
+    day = dt.datetime(2024, 1, 1)
+    small = [(1, 900_000, 7, 1, 1.0, 10.25, 0.1, 0.0, "R", day), (1, 600_000, 9, 6, 2.0, 20.5, 0.1, 0.0, "N", day),
+             (2, None, 9, 6, 2.0, 20.5, 0.1, 0.0, "N", day)]
+    large = [(1, 1_200_000, 60_000, 6, 3.0, 30.0, 0.1, 0.0, "R", day), (2, 1_200_000, 60_001, 1, 4.0, 0.5, 0.1, 0.0, "N", day)]
+    for name, rows in (("small", small), ("large", small + large), ("edge", small + [(3, 922_336, 9, 6, 2.0, 20.5, 0.1, 0.0, "N", day)])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(rows, names).write.parquet(f"{folder}/lineitem.parquet")
+        found = QUERIES["latest_per_key"](spark, folder)
+        got = {(r["coil_id"], r["stand"]): (r["reading_id"], r["torque"]) for r in found.collect()}
+        expected = {(1, 1): ((900_000 * 10 ** 5 + 7) * 10 ** 8 + 1025, 1.0), (2, 1): (None, None)}
+        if name == "large":
+            expected = {(1, 1): ((1_200_000 * 10 ** 5 + 60_000) * 10 ** 8 + 3000, 3.0),
+                        (2, 1): ((1_200_000 * 10 ** 5 + 60_001) * 10 ** 8 + 50, 4.0)}
+        if name == "edge":
+            expected[(3, 1)] = ((922_336 * 10 ** 5 + 9) * 10 ** 8 + 2050, 2.0)
+        assert got == expected
+        assert (found.schema["reading_id"].dataType.simpleString() == "bigint") == (name != "large")
+        assert V.readings_numbered(spark, folder).columns == V.readings_big(spark, folder).columns
