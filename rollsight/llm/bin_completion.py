@@ -34,6 +34,8 @@ CAPACITY = 2048
 END_ID = 0
 # Fillings that the search looks at before it settles for the best packing it has.
 STEPS = 4_000
+# Branches of the search whose listings stay open; the others list again when their turn comes.
+LISTINGS = 32
 SLICE_CHARS = 1_000_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, times), longest first
@@ -207,9 +209,8 @@ class _Branch:
     def __init__(self, path, counts: np.ndarray, used: int, volume: int):
         self.path, self.counts, self.used, self.volume = path, counts, used, volume
         self.longest = int(np.flatnonzero(counts)[-1])
-        rest = counts.copy()
-        rest[self.longest] -= 1
-        self.listing = fillings(rest, len(counts) - 1 - self.longest)
+        self.listing: Iterator[Filling | None] | None = None
+        self.listed, self.ended = 0, False
         self.once: list[Filling] = []
 
     def next(self):
@@ -217,7 +218,12 @@ class _Branch:
 
         Times are 0 for a filling that need not be tried, and None ends the branch.
         """
-        for rest in self.listing:
+        if self.listing is None and not self.ended:
+            rest = self.counts.astype(np.int64)
+            rest[self.longest] -= 1
+            self.listing = itertools.islice(fillings(rest, len(rest) - 1 - self.longest), self.listed, None)
+        for rest in self.listing or ():
+            self.listed += 1
             if rest is None:
                 return (), 0
             whole = _together(((self.longest, 1),), rest)
@@ -225,10 +231,16 @@ class _Branch:
             if times > 1:
                 self.once.append(whole)
             return whole, times
+        self.listing, self.ended = None, True
         return (self.once.pop(0), 1) if self.once else None
 
+    def park(self):
+        """Hold little until the next call, which lists again up to where this one stopped."""
+        self.listing = None
+        self.counts = self.counts.astype(np.min_scalar_type(int(self.counts.max())))
+
     def after(self, filling: Filling, times: int):
-        left = self.counts.copy()
+        left = self.counts.astype(np.int64)
         for size, n in filling:
             left[size] -= n * times
         return left, self.volume - times * sum(size * n for size, n in filling)
@@ -239,7 +251,8 @@ def solve(counts, steps: int = STEPS) -> Plan:
 
     Branches are followed in the order of how often they left the fullest filling, so an early wrong
     choice is mended before all late ones were tried. Every filling around the longest piece is a
-    branch, taken as often as it fits or once; `steps` bounds how many are looked at.
+    branch, taken as often as it fits or once; `steps` bounds how many are looked at. A listing holds
+    the sums of all lengths left, so only those of the `LISTINGS` branches used last stay open.
     """
     counts = np.array(counts, dtype=np.int64)
     counts[0] = 0
@@ -248,6 +261,7 @@ def solve(counts, steps: int = STEPS) -> Plan:
     fewest, bound = sum(n for _, n in best), lower_bound(counts)
     order = itertools.count()
     open_: list[tuple] = []
+    listing: dict[_Branch, None] = {}
     if fewest > bound:
         heapq.heappush(open_, (0, 0, next(order), _Branch(None, counts, 0, int(counts @ np.arange(capacity + 1)))))
     while open_ and steps > 0 and fewest > bound:
@@ -262,6 +276,12 @@ def solve(counts, steps: int = STEPS) -> Plan:
                 continue
             # The other fillings of this branch wait for those with fewer turns.
             heapq.heappush(open_, (turns + 1, -branch.used, next(order), branch))
+            listing.pop(branch, None)
+            listing[branch] = None
+            if len(listing) > LISTINGS:
+                oldest = next(iter(listing))
+                del listing[oldest]
+                oldest.park()
             path, used = (branch.path, filling, times), branch.used + times
             left, volume = branch.after(filling, times)
             if used + -(-volume // capacity) >= fewest:

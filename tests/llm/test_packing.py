@@ -253,3 +253,28 @@ def test_packed_rows_of_odd_rows(spark, tmp_path):
     assert sorted(d for r in rows.collect() for d, p in zip(r["doc_ids"], r["pieces"]) if p == 0 and d) == [1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
     assert packed_ids.packed_rows(empty_documents(spark), PATH).count() == 0
     assert packed_ids.packed_rows(odd_documents(spark, [(1, ""), (2, None)]), PATH, end_id=None).count() == 0
+
+
+def test_search_holds_few_listings():
+    """A search that runs out of steps leaves thousands of branches open, but not their sums."""
+    import tracemalloc
+
+    counts = np.bincount(np.random.default_rng(1).integers(200, 1000, 3000), minlength=2049)
+    tracemalloc.start()
+    try:
+        plan = B.solve(counts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (plan.sequences, plan.bound, plan.proven) == (890, 886, False)
+    assert peak < 30e6
+
+
+def test_parked_listings_change_nothing(monkeypatch):
+    draw = np.random.default_rng(2)
+    for size in (40, 200):
+        counts = np.bincount(draw.integers(200, 1000, size), minlength=2049)
+        monkeypatch.setattr(B, "LISTINGS", 1)
+        parked = B.solve(counts, steps=600)
+        monkeypatch.setattr(B, "LISTINGS", 10_000)
+        assert B.solve(counts, steps=600) == parked
