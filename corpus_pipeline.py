@@ -23,7 +23,10 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a likeness of 0.8 or more in shingles of five words."""
+    """One document of each group linked by a likeness of 0.8 or more in shingles of five words.
+
+    SimHash components come first, the exact likeness decides, and an exact join finds all other links.
+    """
     return simhash_index.first_of_each(docs, resemblance.alike)
 
 

@@ -1,4 +1,9 @@
-"""Near-duplicate documents by exact Jaccard likeness of their word shingles.
+"""Near-duplicate documents by SimHash components and exact Jaccard likeness of their word shingles.
+
+First every set of shingles gets a 64-bit SimHash; the index of `simhash_index` finds those at most
+three bits apart, and each set of a component is compared with the component's first one. A likeness
+of 0.8 is about ten bits, so more links are left than that index can reach. The rest is found
+exactly, between sets that are not linked yet:
 
 Two sets with a likeness of t or more have an element in common among the first
 n - ceil(t n) + 1 of each, whatever order all elements are put in. So only these first shingles
@@ -36,6 +41,7 @@ from pyspark.sql import functions as F
 from .common import Shelf, fold_table, free_shuffles, run_starts, slices
 from .components import connected_components
 from .fingerprints import SEED, SHINGLE_WORDS, _mixed
+from .simhash_index import majorities, near_pairs
 
 LIKENESS = 0.8
 BUCKET_ROWS = 16
@@ -105,19 +111,24 @@ def first_shingles(shingles: np.ndarray, last: Late, likeness: float) -> np.ndar
     return shingles[:number]
 
 
+def set_simhash(shingles: np.ndarray) -> int:
+    """Bits that more than half of a set's shingles have, as a signed 64-bit number."""
+    return int(majorities(shingles.view(np.uint64), np.array([len(shingles)])).view(np.int64)[0])
+
+
 def _set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - 2 ** 63
 
 
 def _identified(text: Column | str) -> Column:
-    """Per text: the number of its set and the set's size."""
+    """Per text: the number of its set and the set's SimHash."""
 
-    @F.pandas_udf("node long, n long")
+    @F.pandas_udf("node long, fp long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = _Known()
         for batch in batches:
-            rows = [(_set_id(found), len(found)) for found in shingle_sets(batch, known)]
-            yield pd.DataFrame(rows, columns=["node", "n"])
+            rows = [(_set_id(found), set_simhash(found)) for found in shingle_sets(batch, known)]
+            yield pd.DataFrame(rows, columns=["node", "fp"], dtype="int64")
 
     return of(text)
 
@@ -222,6 +233,12 @@ class _Links:
         self.links = alike if self.links is None else self.links.unionAll(alike)
         self.roots = self.shelf.put(connected_components(self.links, "a", "b"))
 
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose ends are not linked yet."""
+        left, right = self.roots.toDF("a", "a_root"), self.roots.toDF("b", "b_root")
+        rooted = pairs.join(left, "a", "left").join(right, "b", "left")
+        return rooted.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
     def split(self, crowded: DataFrame) -> DataFrame:
         """Rows of the keys that still hold sets of several components, with their root."""
         rooted = self.shelf.put(
@@ -280,6 +297,17 @@ def _led(rows: DataFrame, turn: int, likeness: float) -> DataFrame:
     return _crowded_pairs(rows.select("key", "node", "n", "left"), leaders, likeness).select("a", "b")
 
 
+def _near_prints(nodes: DataFrame, shelf: Shelf) -> DataFrame:
+    """(a, b): sets whose SimHashes are linked, each with the first set of its component."""
+    linked = connected_components(near_pairs(nodes.select("fp")), "a", "b").toDF("print", "linked")
+    rooted = shelf.put(
+        nodes.join(linked, F.col("fp") == F.col("print"), "left")
+        .select("node", F.coalesce("linked", "fp").alias("print_root"))
+    )
+    first = rooted.groupBy("print_root").agg(F.min("node").alias("a"))
+    return rooted.join(first, "print_root").where("node <> a").select("a", F.col("node").alias("b"))
+
+
 def components(docs: DataFrame, nodes: DataFrame, shared: DataFrame, likeness: float, shelf: Shelf) -> DataFrame:
     """(node, root) of all sets that have an alike one."""
     of_set = W.partitionBy("node")
@@ -291,8 +319,10 @@ def components(docs: DataFrame, nodes: DataFrame, shared: DataFrame, likeness: f
     few = rows.where(~is_crowded).select("key", "node", "n", "crowd")
     crowded = rows.where(is_crowded).select("key", "node", "n", "left")
     found = _Links(docs, nodes, likeness, shelf)
-    found.add(_promising(few, likeness).unionAll(_led(crowded, 0, likeness)))
+    found.add(_near_prints(nodes, shelf))
     rest = found.split(crowded)
+    found.add(found.apart(_promising(few, likeness).unionAll(_led(rest, 0, likeness))))
+    rest = found.split(rest)
     for turn in range(1, LEADER_ROUNDS):
         if rest.isEmpty():
             return found.roots
@@ -322,8 +352,8 @@ def alike(docs: DataFrame, also: tuple[Column, ...] = (), likeness: float = LIKE
     like = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("content")).alias("like")
     stored = result.put(docs.select("doc_id", _identified("text").alias("s"), like, *also), keep=True)
     nodes = shelf.put(
-        stored.select("s.node", "doc_id", "like").groupBy("node")
-        .agg(F.min("doc_id").alias("first"), F.min("like").alias("like"))
+        stored.select("s.node", "s.fp", "doc_id", "like").groupBy("node")
+        .agg(F.min("doc_id").alias("first"), F.min("like").alias("like"), F.min("fp").alias("fp"))
     )
     last = _frequent(_starts(docs, likeness, NONE_LATE))
     free_shuffles(spark)

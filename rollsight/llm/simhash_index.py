@@ -39,7 +39,7 @@ def _shingle_hashes(words: list[bytes], width: int) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in zip(starts, stops)]
 
 
-def _majorities(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def majorities(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Per run of hashes the word of bits that more than half of them have set."""
     out = np.zeros(len(lengths), dtype=np.uint64)
     filled = np.flatnonzero(lengths)
@@ -60,7 +60,7 @@ def fingerprint_texts(texts, width: int = SHINGLE_WORDS) -> np.ndarray:
             found = _shingle_hashes(raw.translate(table).split(), width)
             hashes.extend(found)
             lengths.append(len(found))
-        out.append(_majorities(np.array(hashes, dtype=np.uint64), np.array(lengths, dtype=np.int64)))
+        out.append(majorities(np.array(hashes, dtype=np.uint64), np.array(lengths, dtype=np.int64)))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 

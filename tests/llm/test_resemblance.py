@@ -69,3 +69,35 @@ def test_stage_of_odd_rows(spark):
     assert ids.count("1") == 1 and "2" not in ids and "3" in ids and "4" not in ids and "5" not in ids
     assert ids.count("None") == 2 and "8" in ids and "9" not in ids
     assert corpus_pipeline.without_near_duplicates(spark, empty_documents(spark), "").count() == 0
+
+
+def test_stage_goes_through_the_simhash_index(spark, monkeypatch):
+    """Sets at most three bits apart are found by the index; what it links is not paired again."""
+    added, left = [], []
+    add, apart = resemblance._Links.add, resemblance._Links.apart
+
+    def noted(self, pairs):
+        pairs = pairs.persist()
+        added.append({frozenset((r["a"], r["b"])) for r in pairs.collect()})
+        add(self, pairs)
+
+    def shown(self, pairs):
+        pairs = pairs.distinct().persist()
+        kept = apart(self, pairs).persist()
+        left.append((pairs.count(), kept.count()))
+        return kept
+
+    monkeypatch.setattr(resemblance._Links, "add", noted)
+    monkeypatch.setattr(resemblance._Links, "apart", shown)
+    base = " ".join(f"w{k}" for k in range(3000))
+    texts = {1: base, 2: base + " more", 3: "first " + base, 4: " ".join(f"v{k}" for k in range(50)), 5: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    sets = list(resemblance.shingle_sets([texts[k] for k in (1, 2, 3)], resemblance._Known()))
+    prints = [resemblance.set_simhash(found) & (2 ** 64 - 1) for found in sets]
+    for bit in range(64):
+        voted = 2 * sum(int(h) >> bit & 1 for h in sets[0].view(np.uint64)) > len(sets[0])
+        assert (prints[0] >> bit & 1) == voted
+    assert all((prints[0] ^ other).bit_count() <= 3 for other in prints[1:])
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, "")
+    assert {r["doc_id"] for r in kept.collect()} == plain_kept(texts) == {1, 4, 5}
+    assert len(added[0]) == 2 and left == [(left[0][0], 0)] and left[0][0] > 0
