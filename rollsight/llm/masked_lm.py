@@ -3,8 +3,11 @@
 Every word of a text is predicted from the two words before and the two after it; the summed
 conditional log-probabilities score the text. A word's probability is that of its class given the
 window, from the network, times that of the word within its class, from counts over all documents.
-Words are hashed to `SLOTS` slots, so tables stay bounded; the most frequent slots are classes of
-their own, the others share classes by falling frequency.
+Words are hashed to `SLOTS` slots, so the tables of a task stay bounded; the most frequent slots are
+classes of their own, the others share classes by falling frequency. Words that share a slot are not
+merged: each word is counted for itself, in a Spark table of any size, and its probability within
+its slot is a third factor. Tasks know the most frequent word of each slot; what stands in the texts
+of the others is joined with the table.
 
 The network (an embedding per window place, a hidden layer, a softmax over classes) is trained in
 numpy inside the tasks: in each of `ROUNDS` rounds every partition starts from the common weights,
@@ -15,14 +18,17 @@ rounds every window of every document is used once.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.session import materialised
 from .common import fold_table, slices
 
 SLOTS = 1 << 18
@@ -34,13 +40,22 @@ ROUNDS = 3
 BATCH = 1024
 RATE = 0.02
 SLICE = 500_000
+# Different words a task counts before it hands them on.
+HELD_WORDS = 500_000
+SEED = 42
 
 
 class Words(NamedTuple):
-    """Counts over the corpus: class of each slot and its log-probability within the class."""
+    """Counts over the corpus: class of each slot and its log-probability within the class.
+
+    Of slots that several words share also the hash of the most frequent one and its log-probability
+    within the slot, which is 0 for all other slots.
+    """
 
     class_of: np.ndarray
     within: np.ndarray
+    first: np.ndarray
+    first_share: np.ndarray
 
 
 class Network(NamedTuple):
@@ -53,28 +68,66 @@ class Network(NamedTuple):
 _OFFSETS = tuple(k for k in range(-WINDOW, WINDOW + 1) if k)
 
 
-def slots_in(raw: bytes) -> np.ndarray:
-    """Slots of the words of a text's bytes; words are split at ASCII white space, A-Z lower-cased."""
-    words = raw.translate(fold_table(False)).split()
+def words_in(raw: bytes) -> list[bytes]:
+    """Words of a text's bytes; they are split at ASCII white space, A-Z lower-cased."""
+    return raw.translate(fold_table(False)).split()
+
+
+def slots_of(words: list[bytes]) -> np.ndarray:
     return (np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % SLOTS).astype(np.int32)
 
 
+def slots_in(raw: bytes) -> np.ndarray:
+    """Slots of the words of a text's bytes."""
+    return slots_of(words_in(raw))
+
+
 def _counts(batches):
-    total = np.zeros(SLOTS, dtype=np.int64)
+    total: Counter = Counter()
+
+    def rows():
+        words = list(total)
+        return pd.DataFrame({"slot": slots_of(words), "word": words, "n": list(total.values())})
+
     for batch in batches:
         for part in slices(batch["text"]):
-            total += np.bincount(slots_in(b" ".join(part)), minlength=SLOTS)
-    used = np.flatnonzero(total)
-    yield pd.DataFrame({"slot": used.astype(np.int32), "n": total[used]})
+            for raw in part:
+                total.update(words_in(raw))
+            if len(total) > HELD_WORDS:
+                yield rows()
+                total.clear()
+    yield rows()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(slot, word, n): every word of all documents, as bytes, with its count."""
+    counted = docs.select("text").mapInPandas(_counts, "slot int, word binary, n long")
+    return materialised(counted.groupBy("slot", "word").agg(F.sum("n").alias("n")))
+
+
+def _slot_totals(counted: DataFrame) -> DataFrame:
+    """Per slot the words, their sum, and the most frequent one with its count; the smallest of equals."""
+    order = F.struct("n", -F.xxhash64("word").cast("decimal(20,0)"), "word")
+    return counted.groupBy("slot").agg(
+        F.count("*").alias("words"), F.sum("n").alias("total"), F.max("n").alias("most"),
+        F.max_by("word", order).alias("first"),
+    )
 
 
-def count_words(docs: DataFrame) -> Words:
+def other_words(counted: DataFrame) -> DataFrame:
+    """(word, share): log-probability within the slot of all words that are not the first of theirs."""
+    slots = _slot_totals(counted).where("words > 1").select("slot", "total", "first")
+    others = counted.join(slots, "slot").where("word <> first")
+    return others.select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
+def count_words(docs: DataFrame, counted: DataFrame | None = None) -> Words:
     """Classes and within-class probabilities from the counts of all words of all documents.
 
-    One count per slot reaches the driver, whatever the corpus.
+    One row per slot reaches the driver, whatever the corpus. `counted`: the `word_counts`, if known.
     """
-    counted = docs.select("text").mapInPandas(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()
+    slots = _slot_totals(word_counts(docs) if counted is None else counted)
+    rows = slots.select("slot", "words", F.col("total").alias("n"), "most", F.xxhash64("first").alias("first")).toPandas()
     n = np.zeros(SLOTS, dtype=np.int64)
     n[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     order = np.argsort(-n, kind="stable")
@@ -86,7 +139,11 @@ def count_words(docs: DataFrame) -> Words:
     class_of[rest] = OWN_CLASSES + np.minimum((mass / mass[-1] * shared).astype(np.int64), shared - 1)
     smooth = n + 0.5
     within = np.log(smooth / np.bincount(class_of, smooth, minlength=CLASSES)[class_of])
-    return Words(class_of, within.astype(np.float32))
+    first, first_share = np.zeros(SLOTS, dtype=np.int64), np.zeros(SLOTS)
+    rows = rows[rows["words"] > 1]
+    first[rows["slot"]] = rows["first"]
+    first_share[rows["slot"]] = np.log(rows["most"] / rows["n"])
+    return Words(class_of, within.astype(np.float32), first, first_share)
 
 
 def first_network(seed: int = 7) -> Network:
@@ -205,15 +262,22 @@ def train(docs: DataFrame, words: Words, rounds: int = ROUNDS, rate: float = RAT
     return net
 
 
-def pseudo_likelihood(text: Column | str, words: Words, net: Network) -> Column:
-    """struct(n_words, log_likelihood) of a text column; zero for a text without words or a null."""
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Spark's xxhash64 of the words."""
+    return np.array([xxhash.xxh64_intdigest(word, SEED) for word in words], dtype=np.uint64).view(np.int64)
 
-    @F.pandas_udf("n_words long, log_likelihood double")
+
+def _likelihood(words: Words, net: Network, each: bool):
+    """Scores by slots, or with `each` by words: those of the first words of their slots, and the other words."""
+    kind = "n_words long, log_likelihood double" + (", others array<binary>" if each else "")
+
+    @F.pandas_udf(kind)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lengths, sums = [], []
+            lengths, sums, left = [], [], []
             for part in slices(batch, SLICE):
-                slots = [slots_in(raw) for raw in part]
+                split = [words_in(raw) for raw in part]
+                slots = [slots_of(found) for found in split]
                 found = [len(s) for s in slots]
                 lengths.extend(found)
                 every = np.concatenate(slots)
@@ -222,12 +286,29 @@ def pseudo_likelihood(text: Column | str, words: Words, net: Network) -> Column:
                 for start in range(0, len(middle), 8 * BATCH):
                     stop = start + 8 * BATCH
                     scores[start:stop] += log_probabilities(net, around[:, start:stop], middle[start:stop])
+                start = 0
+                for own, places in zip(split, slots) if each else ():
+                    shared = np.flatnonzero(words.first_share[places])
+                    is_first = _hashes([own[k] for k in shared.tolist()]) == words.first[places[shared]]
+                    firsts = shared[is_first]
+                    scores[start + firsts] += words.first_share[places[firsts]]
+                    left.append([own[k] for k in shared[~is_first].tolist()])
+                    start += len(own)
                 upto = np.concatenate(([0.0], np.cumsum(scores)))
                 ends = np.cumsum([0, *found])
                 sums.extend(upto[ends[1:]] - upto[ends[:-1]])
-            yield pd.DataFrame({"n_words": lengths, "log_likelihood": sums})
+            made = {"n_words": lengths, "log_likelihood": sums}
+            yield pd.DataFrame(made | {"others": left} if each else made)
 
-    return of(text)
+    return of
+
+
+def pseudo_likelihood(text: Column | str, words: Words, net: Network) -> Column:
+    """struct(n_words, log_likelihood) of a text column; zero for a text without words or a null.
+
+    A word has the probability of its slot here; `scored` tells the words of a slot apart.
+    """
+    return _likelihood(words, net, False)(text)
 
 
 def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", rounds: int = ROUNDS) -> DataFrame:
@@ -237,10 +318,16 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    words = count_words(docs)
+    counted = word_counts(docs)
+    words = count_words(docs, counted)
     net = train(docs, words, rounds)
-    found = docs.withColumn("found", pseudo_likelihood(F.col("text"), words, net))
-    n, total = F.col("found.n_words"), F.col("found.log_likelihood")
-    return found.select(
-        "doc_id", n.alias("n_words"), total.alias("log_likelihood"), F.when(n > 0, total / n).alias("per_word")
+    found = materialised(
+        docs.select("doc_id", _likelihood(words, net, True)("text").alias("found"))
+        .select("doc_id", "found.*", F.monotonically_increasing_id().alias("row"))
+    )
+    left = found.select("row", F.explode("others").alias("word"))
+    more = left.join(other_words(counted), "word").groupBy("row").agg(F.sum("share").alias("more"))
+    n, total = F.col("n_words"), F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+    return found.join(more, "row", "left").select(
+        "doc_id", "n_words", total.alias("log_likelihood"), F.when(n > 0, total / n).alias("per_word")
     )

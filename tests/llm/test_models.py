@@ -246,3 +246,32 @@ def test_masked_query_learns(spark):
     odd = masked_lm.scored(odd_documents(spark)).collect()
     assert len(odd) == 14 and all((r["per_word"] is None) == (r["n_words"] == 0) for r in odd)
     assert masked_lm.scored(empty_documents(spark)).count() == 0
+
+
+def test_words_that_share_a_slot_are_not_merged(spark):
+    """The score is that of the slots, and of each word within its slot by its own count."""
+    slots, together = masked_lm.SLOTS, {}
+    for k in range(200_000):
+        together.setdefault(zlib.crc32(f"word{k}".encode()) % slots, []).append(f"Word{k}")
+    crowds = [names for names in together.values() if len(names) > 2][:40]
+    draw = np.random.default_rng(4)
+    names = [name for crowd in crowds for name in crowd] + ["é", "e\u0301", "alone"]
+    texts = [" ".join(draw.choice(names, size)) for size in (400, 300, 5, 1)] + ["", None, "word0  WORD0"]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(1, texts[1]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    number = Counter(w for _, t in rows for w in (t or "").lower().split())
+    slot = {w: zlib.crc32(w.encode()) % slots for w in number}
+    total = Counter()
+    for w, n in number.items():
+        total[slot[w]] += n
+    words = masked_lm.count_words(docs)
+    net = masked_lm.train(docs, words)
+    got = masked_lm.scored(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(k) for k, _ in rows)
+    slotted = docs.select("doc_id", masked_lm.pseudo_likelihood("text", words, net).alias("f"))
+    plain = {r["doc_id"]: r["f"]["log_likelihood"] for r in slotted.collect()}
+    for r in got:
+        text = rows[2][1] if r["doc_id"] is None else texts[r["doc_id"]]
+        inside = sum(math.log(number[w] / total[slot[w]]) for w in (text or "").lower().split())
+        assert r["log_likelihood"] == pytest.approx(plain[r["doc_id"]] + inside, rel=1e-5, abs=1e-9)
+        assert inside < -10 or r["n_words"] < 10
