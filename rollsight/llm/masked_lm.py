@@ -6,7 +6,7 @@ window, from the network, times that of the word within its class, from counts o
 Words are hashed to `SLOTS` slots, so the tables of a task stay bounded; the most frequent slots are
 classes of their own, the others share classes by falling frequency. Words that share a slot are not
 merged: each word is counted for itself, in a Spark table of any size, and its probability within
-its slot is a third factor. Tasks know the most frequent word of each slot; what stands in the texts
+its slot is a third factor. A word is known by its slot and 64-bit hash. Tasks know the most frequent word of each slot; what stands in the texts
 of the others is joined with the table.
 
 The network (an embedding per window place, a hidden layer, a softmax over classes) is trained in
@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -82,12 +83,17 @@ def slots_in(raw: bytes) -> np.ndarray:
     return slots_of(words_in(raw))
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    found = map(xxhash.xxh64_intdigest, words, repeat(SEED))
+    return np.fromiter(found, np.uint64, len(words)).view(np.int64)
+
+
 def _counts(batches):
     total: Counter = Counter()
 
     def rows():
         words = list(total)
-        return pd.DataFrame({"slot": slots_of(words), "word": words, "n": list(total.values())})
+        return pd.DataFrame({"slot": slots_of(words), "word": _hashes(words), "n": list(total.values())})
 
     for batch in batches:
         for part in slices(batch["text"]):
@@ -100,34 +106,33 @@ def _counts(batches):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(slot, word, n): every word of all documents, as bytes, with its count."""
-    counted = docs.select("text").mapInPandas(_counts, "slot int, word binary, n long")
+    """(slot, word, n): every word of all documents, as its hash, with its count."""
+    counted = docs.select("text").mapInPandas(_counts, "slot int, word long, n long")
     return materialised(counted.groupBy("slot", "word").agg(F.sum("n").alias("n")))
 
 
-def _slot_totals(counted: DataFrame) -> DataFrame:
-    """Per slot the words, their sum, and the most frequent one with its count; the smallest of equals."""
-    order = F.struct("n", -F.xxhash64("word").cast("decimal(20,0)"), "word")
-    return counted.groupBy("slot").agg(
+def slot_totals(counted: DataFrame) -> DataFrame:
+    """Per slot the words, their sum, and the most frequent one (any of equals) with its count."""
+    return materialised(counted.groupBy("slot").agg(
         F.count("*").alias("words"), F.sum("n").alias("total"), F.max("n").alias("most"),
-        F.max_by("word", order).alias("first"),
-    )
+        F.max_by("word", "n").alias("first"),
+    ))
 
 
-def other_words(counted: DataFrame) -> DataFrame:
+def other_words(counted: DataFrame, totals: DataFrame) -> DataFrame:
     """(word, share): log-probability within the slot of all words that are not the first of theirs."""
-    slots = _slot_totals(counted).where("words > 1").select("slot", "total", "first")
+    slots = totals.where("words > 1").select("slot", "total", "first")
     others = counted.join(slots, "slot").where("word <> first")
     return others.select("word", F.log(F.col("n") / F.col("total")).alias("share"))
 
 
-def count_words(docs: DataFrame, counted: DataFrame | None = None) -> Words:
+def count_words(docs: DataFrame, totals: DataFrame | None = None) -> Words:
     """Classes and within-class probabilities from the counts of all words of all documents.
 
-    One row per slot reaches the driver, whatever the corpus. `counted`: the `word_counts`, if known.
+    One row per slot reaches the driver, whatever the corpus. `totals`: the `slot_totals`, if known.
     """
-    slots = _slot_totals(word_counts(docs) if counted is None else counted)
-    rows = slots.select("slot", "words", F.col("total").alias("n"), "most", F.xxhash64("first").alias("first")).toPandas()
+    slots = slot_totals(word_counts(docs)) if totals is None else totals
+    rows = slots.select("slot", "words", F.col("total").alias("n"), "most", "first").toPandas()
     n = np.zeros(SLOTS, dtype=np.int64)
     n[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     order = np.argsort(-n, kind="stable")
@@ -262,14 +267,9 @@ def train(docs: DataFrame, words: Words, rounds: int = ROUNDS, rate: float = RAT
     return net
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    """Spark's xxhash64 of the words."""
-    return np.array([xxhash.xxh64_intdigest(word, SEED) for word in words], dtype=np.uint64).view(np.int64)
-
-
 def _likelihood(words: Words, net: Network, each: bool):
     """Scores by slots, or with `each` by words: those of the first words of their slots, and the other words."""
-    kind = "n_words long, log_likelihood double" + (", others array<binary>" if each else "")
+    kind = "n_words long, log_likelihood double" + (", others array<long>" if each else "")
 
     @F.pandas_udf(kind)
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -286,16 +286,15 @@ def _likelihood(words: Words, net: Network, each: bool):
                 for start in range(0, len(middle), 8 * BATCH):
                     stop = start + 8 * BATCH
                     scores[start:stop] += log_probabilities(net, around[:, start:stop], middle[start:stop])
-                start = 0
-                for own, places in zip(split, slots) if each else ():
-                    shared = np.flatnonzero(words.first_share[places])
-                    is_first = _hashes([own[k] for k in shared.tolist()]) == words.first[places[shared]]
-                    firsts = shared[is_first]
-                    scores[start + firsts] += words.first_share[places[firsts]]
-                    left.append([own[k] for k in shared[~is_first].tolist()])
-                    start += len(own)
-                upto = np.concatenate(([0.0], np.cumsum(scores)))
                 ends = np.cumsum([0, *found])
+                if each:
+                    flat = list(chain.from_iterable(split))
+                    shared = np.flatnonzero(words.first_share[every])
+                    keys = _hashes([flat[k] for k in shared.tolist()])
+                    is_first = keys == words.first[every[shared]]
+                    scores[shared[is_first]] += words.first_share[every[shared[is_first]]]
+                    left.extend(np.split(keys[~is_first], np.searchsorted(shared[~is_first], ends[1:-1])))
+                upto = np.concatenate(([0.0], np.cumsum(scores)))
                 sums.extend(upto[ends[1:]] - upto[ends[:-1]])
             made = {"n_words": lengths, "log_likelihood": sums}
             yield pd.DataFrame(made | {"others": left} if each else made)
@@ -319,14 +318,15 @@ def scored(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """
     docs = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     counted = word_counts(docs)
-    words = count_words(docs, counted)
+    totals = slot_totals(counted)
+    words = count_words(docs, totals)
     net = train(docs, words, rounds)
     found = materialised(
         docs.select("doc_id", _likelihood(words, net, True)("text").alias("found"))
         .select("doc_id", "found.*", F.monotonically_increasing_id().alias("row"))
     )
     left = found.select("row", F.explode("others").alias("word"))
-    more = left.join(other_words(counted), "word").groupBy("row").agg(F.sum("share").alias("more"))
+    more = left.join(other_words(counted, totals), "word").groupBy("row").agg(F.sum("share").alias("more"))
     n, total = F.col("n_words"), F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
     return found.join(more, "row", "left").select(
         "doc_id", "n_words", total.alias("log_likelihood"), F.when(n > 0, total / n).alias("per_word")
