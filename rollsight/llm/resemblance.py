@@ -18,7 +18,10 @@ alike sets must share; whole sets are made anew for those left.
 
 A key that more than `BUCKET_ROWS` sets still share is a group of near copies or a formula. Its
 sets are first compared with one of them, a few times over; then those outside its largest
-component are compared with all others of the key. Sets that are linked already need no pair. Two
+component are compared with all others of the key. Sets that are linked already need no pair, and
+these comparisons are made inside the join on sketches: of each of 2,048 places a set's sketch says
+whether an odd number of its shingles falls on it. Sketches differ in no more bits than the sets
+differ in shingles, so pairs whose sketches are too far apart never become rows and none is lost. Two
 sets that share crowded keys alone need several of them, so they also meet under one of the rarer:
 each row knows how many crowded keys its set has from this one on, by ascending number of sets, and
 a pair is made only where so few can be enough.
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 from typing import NamedTuple
 
@@ -53,6 +57,10 @@ KNOWN_WORDS = 500_000
 SEEN_SETS = 1_000_000
 # Sets whose narrow (id, content) rows may be broadcast to the scan that makes them anew.
 BROADCAST_SETS = 500_000
+# 64-bit words of a sketch. Sets of over about 2,500 shingles fill it, so it tells few of those apart.
+SKETCH_WORDS = 32
+# Words of a folded sketch; a join's loop over many more is too long for the JVM to compile.
+FOLDED_WORDS = 16
 
 
 class _Known(dict):
@@ -116,19 +124,26 @@ def set_simhash(shingles: np.ndarray) -> int:
     return int(majorities(shingles.view(np.uint64), np.array([len(shingles)])).view(np.int64)[0])
 
 
+def set_sketch(shingles: np.ndarray) -> np.ndarray:
+    """A bit for every place on which an odd number of the shingles falls, as signed 64-bit words."""
+    bits = 64 * SKETCH_WORDS
+    fallen = np.bincount((shingles.view(np.uint64) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((fallen & 1).astype(np.uint8)).view(np.int64)
+
+
 def _set_id(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - 2 ** 63
 
 
 def _identified(text: Column | str) -> Column:
-    """Per text: the number of its set and the set's SimHash."""
+    """Per text: the number of its set, the set's SimHash and its sketch."""
 
-    @F.pandas_udf("node long, fp long")
+    @F.pandas_udf("node long, fp long, sketch array<long>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = _Known()
         for batch in batches:
-            rows = [(_set_id(found), set_simhash(found)) for found in shingle_sets(batch, known)]
-            yield pd.DataFrame(rows, columns=["node", "fp"], dtype="int64")
+            rows = [(_set_id(s), set_simhash(s), set_sketch(s)) for s in shingle_sets(batch, known)]
+            yield pd.DataFrame(rows, columns=["node", "fp", "sketch"]).astype({"node": "int64", "fp": "int64"})
 
     return of(text)
 
@@ -266,6 +281,20 @@ def _enough(common: Column, likeness: float) -> Column:
     return common + behind >= needed
 
 
+def _folded(sketch: str) -> Column:
+    """The sketch's halves laid over each other: that of half as many places."""
+    halves = F.slice(sketch, 1, FOLDED_WORDS), F.slice(sketch, FOLDED_WORDS + 1, FOLDED_WORDS)
+    return F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+
+
+def _sketches_near(likeness: float) -> Column:
+    """Whether sets of m and n shingles may be alike by their sketches, the folded ones first."""
+    most = (F.col("m") + F.col("n")) * ((1 - likeness) / (1 + likeness)) + 1e-6
+    words = [F.bit_count(F.col("a_folded")[k].bitwiseXOR(F.col("b_folded")[k])) for k in range(FOLDED_WORDS)]
+    each = F.zip_with("a_sketch", "b_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return (reduce(Column.__add__, words) <= most) & (F.aggregate(each, F.lit(0), Column.__add__) <= most)
+
+
 def _promising(few: DataFrame, likeness: float) -> DataFrame:
     """Pairs under uncrowded keys that may have enough shingles in common.
 
@@ -334,8 +363,14 @@ def components(docs: DataFrame, nodes: DataFrame, shared: DataFrame, likeness: f
         rest.groupBy("key", "root").count().groupBy("key")
         .agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     )
-    outside = rest.join(main, "key").where("root <> main").select("key", "node", "n", "left", F.col("root").alias("own"))
-    found.add(_crowded_pairs(outside, rest, likeness).where("own <> root").select("a", "b"))
+    rest = shelf.put(rest.join(nodes.select("node", "sketch", _folded("sketch").alias("folded")), "node"))
+    outside = rest.join(main, "key").where("root <> main").withColumnRenamed("root", "own")
+    pairs = _crowded_pairs(
+        outside.withColumnsRenamed({"sketch": "a_sketch", "folded": "a_folded"}),
+        rest.withColumnsRenamed({"sketch": "b_sketch", "folded": "b_folded"}), likeness,
+    )
+    once = (F.col("root") == F.col("main")) | (F.col("a") < F.col("b"))
+    found.add(pairs.where((F.col("own") != F.col("root")) & once).where(_sketches_near(likeness)).select("a", "b"))
     return found.roots
 
 
@@ -352,8 +387,11 @@ def alike(docs: DataFrame, also: tuple[Column, ...] = (), likeness: float = LIKE
     like = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("content")).alias("like")
     stored = result.put(docs.select("doc_id", _identified("text").alias("s"), like, *also), keep=True)
     nodes = shelf.put(
-        stored.select("s.node", "s.fp", "doc_id", "like").groupBy("node")
-        .agg(F.min("doc_id").alias("first"), F.min("like").alias("like"), F.min("fp").alias("fp"))
+        stored.select("s.node", "s.fp", "s.sketch", "doc_id", "like").groupBy("node")
+        .agg(
+            F.min("doc_id").alias("first"), F.min("like").alias("like"), F.min("fp").alias("fp"),
+            F.first("sketch").alias("sketch"),
+        )
     )
     last = _frequent(_starts(docs, likeness, NONE_LATE))
     free_shuffles(spark)

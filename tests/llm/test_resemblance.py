@@ -101,3 +101,40 @@ def test_stage_goes_through_the_simhash_index(spark, monkeypatch):
     kept = corpus_pipeline.without_near_duplicates(spark, docs, "")
     assert {r["doc_id"] for r in kept.collect()} == plain_kept(texts) == {1, 4, 5}
     assert len(added[0]) == 2 and left == [(left[0][0], 0)] and left[0][0] > 0
+
+
+def test_sketches_differ_in_no_more_bits_than_the_sets_do():
+    draw = np.random.default_rng(8)
+    for size, changed in ((0, 0), (5, 0), (90, 15), (700, 90), (5000, 600)):
+        one = draw.integers(-2 ** 63, 2 ** 63, size, dtype=np.int64)
+        other = np.concatenate((one[changed:], draw.integers(-2 ** 63, 2 ** 63, changed, dtype=np.int64)))
+        bits = resemblance.set_sketch(one) ^ resemblance.set_sketch(other)
+        assert len(bits) == resemblance.SKETCH_WORDS
+        apart = sum(int(word).bit_count() for word in bits.view(np.uint64))
+        assert apart <= len(set(one.tolist()) ^ set(other.tolist()))
+        assert size > 700 or changed == 0 or apart > changed
+
+
+def test_crowd_below_the_likeness_is_not_paired(spark, monkeypatch):
+    """Near copies that are not alike share crowded shingles; their pairs do not become rows."""
+    made, add = [], resemblance._Links.add
+
+    def counted(self, pairs):
+        pairs = pairs.persist()
+        made.append(pairs.count())
+        add(self, pairs)
+
+    monkeypatch.setattr(resemblance._Links, "add", counted)
+    draw = np.random.default_rng(9)
+    base = [f"w{k}" for k in range(100)]
+    texts = {}
+    for number in range(120):
+        copy = list(base)
+        for place in draw.choice(100, 2, replace=False):
+            copy[place] = f"own{number}"
+        texts[number] = " ".join(copy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, "")
+    expected = plain_kept(texts)
+    assert {r["doc_id"] for r in kept.collect()} == expected and 20 < len(expected) < 120
+    assert len(made) == 2 + resemblance.LEADER_ROUNDS and made[-1] < 5 * len(texts)
