@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -13,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
+from ..functions import columns as X
 from ..functions.session import materialised
 from ..operators import evaluation as E
 from ..operators import latest as L
 from ..operators import splits as S
 from ..sources import markers as K
+from . import boosting
 from . import registry as R
 from .scoring import Model, apply_model, with_features
 
@@ -100,29 +101,35 @@ def fit(rows: DataFrame, params: BoostParams = BoostParams()) -> tuple[dict, dic
     """One class-balanced classifier per family; None where only one class occurs, which
     then scores 0. Also the positives per family."""
     weights = {row["family"]: row for row in E.class_weights(rows).collect()}
-    features = with_features(rows).select("_features", *C.LABELS).persist()
-
-    def of_family(family: str):
-        known = weights[family]
-        if known["weight_fault"] is None or known["weight_normal"] is None:
-            return None
-        label = F.coalesce(F.col(f"y_{family}"), F.lit(False))
-        weighted = features.select(
+    known = [f for f in C.FAMILIES if None not in (weights[f]["weight_fault"], weights[f]["weight_normal"])]
+    truth = {family: F.coalesce(F.col(f"y_{family}"), F.lit(False)) for family in known}
+    classifier = GBTClassifier(
+        featuresCol="_features", labelCol="label", weightCol="weight",
+        maxIter=params.iterations, stepSize=params.step, maxDepth=params.depth, seed=params.seed,
+    )
+    labels = [
+        boosting.Label(family, classifier.copy(), row["weight_fault"], row["weight_normal"], row["n"], row["positives"])
+        for family, row in ((family, weights[family]) for family in known)
+    ]
+    vectors = with_features(rows).select("_features", *C.LABELS).persist()
+    weighted = [
+        vectors.select(
             "_features",
-            label.cast("double").alias("label"),
-            F.when(label, known["weight_fault"]).otherwise(known["weight_normal"]).alias("weight"),
+            truth[label.name].cast("double").alias("label"),
+            F.when(truth[label.name], label.fault).otherwise(label.normal).alias("weight"),
         )
-        return GBTClassifier(
-            featuresCol="_features", labelCol="label", weightCol="weight",
-            maxIter=params.iterations, stepSize=params.step, maxDepth=params.depth,
-            seed=params.seed, cacheNodeIds=True, checkpointInterval=10,
-        ).fit(weighted)
-
-    # The jobs of a fit follow one another; those of the four families fill the gaps.
-    with ThreadPoolExecutor(len(C.FAMILIES)) as pool:
-        models = dict(zip(C.FAMILIES, pool.map(of_family, C.FAMILIES)))
-    features.unpersist()
-    return models, {family: weights[family]["positives"] for family in C.FAMILIES}
+        for label in labels
+    ]
+    binned = rows.select(
+        *[X.finite_or_zero(F.col(name)).cast("double").alias(name) for name in C.FEATURES],
+        *[truth[family].alias(f"y_{family}") for family in known],
+    )
+    models = boosting.boosted(binned, C.FEATURES, [f"y_{family}" for family in known], labels, weighted)
+    vectors.unpersist()
+    return (
+        {family: models.get(family) for family in C.FAMILIES},
+        {family: weights[family]["positives"] for family in C.FAMILIES},
+    )
 
 
 def retrain(
