@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.session import ensure_checkpoint_dir, scratch_folder
 
-BINS = 32  # MLlib's default; a bin fits a byte
 BLOCK_ROWS = 30_000
 # Blocks per partition, at most; more partitions than this are summed up in steps, not on the driver.
 BLOCKS_PER_PART, FEW_PARTS = 32, 64
@@ -32,7 +31,7 @@ STORED_EVERY = 10
 # A fall of variance below this share of the squared prediction is the rounding of sums, not a split.
 NOISE = 1e-22
 # A cut no bin exceeds: all rows go left.
-NO_CUT = 255
+NO_CUT = 2 ** 16 - 1
 
 
 @dataclass(frozen=True)
@@ -81,7 +80,7 @@ def nodes_of(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, depth: int)
         for number in range(1 << level, 2 << level):
             if cut[number] == NO_CUT:
                 continue
-            here = bins[column[number]] > cut[number]
+            here = bins[column[number]] > int(cut[number])
             if level:
                 here &= node == number
             right |= here
@@ -90,17 +89,17 @@ def nodes_of(bins: np.ndarray, column: np.ndarray, cut: np.ndarray, depth: int)
     return node
 
 
-def _counted(bins, truth, pull, depth, column, cut, wanted, places, known):
+def _counted(bins, truth, pull, depth, column, cut, wanted, places, width, known):
     """Sums of a block for one label: of the pulls, and per (feature, wanted node, bin) of pulls, rows and
     faults. Counts are left out when known."""
-    size = len(wanted) * BINS
+    size = len(wanted) * width
     sums = np.zeros((len(places), size))
     counts = None if known else np.zeros((2, len(places), size), dtype=np.int64)
     total = pull.sum()
     start, chosen = np.zeros(len(pull), dtype=np.intp), None
     if depth:
         slots = np.full(2 << depth, -1, dtype=np.intp)
-        slots[wanted] = np.arange(len(wanted)) * BINS
+        slots[wanted] = np.arange(len(wanted)) * width
         start = slots[nodes_of(bins, column, cut, depth)]
         chosen = np.flatnonzero(start >= 0)
         start, pull, truth = start[chosen], pull[chosen], truth[chosen]
@@ -153,7 +152,7 @@ def _updated(pair, labels, depth, trees, step):
     return after, pulls_of(truths, after, labels, False), squares
 
 
-def _packed(batches, columns, names, labels):
+def _packed(batches, columns, names, labels, width):
     """Batches of rows as numbered blocks of bins (a byte per binned feature and row) and labels."""
     import pyarrow as pa
 
@@ -173,7 +172,7 @@ def _packed(batches, columns, names, labels):
         truths = [batch.column(len(names) + i).to_numpy(zero_copy_only=False) for i in range(len(labels))]
         bins = [np.searchsorted(edges, values[feature]) for feature, edges in columns]
         held.append((
-            np.array(bins, dtype=np.uint8).reshape(len(columns), batch.num_rows),
+            np.array(bins, dtype=np.min_scalar_type(width - 1)).reshape(len(columns), batch.num_rows),
             np.array(truths, dtype=bool).reshape(len(labels), batch.num_rows),
         ))
         size += batch.num_rows
@@ -220,12 +219,13 @@ class Tree:
     columns: Columns
     depth: int
     first: bool
+    width: int
     nodes: dict[int, Node] = field(default_factory=dict)
     sums: dict[int, list[np.ndarray]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.column = np.zeros(1 << self.depth, dtype=np.intp)
-        self.cut = np.full(1 << self.depth, NO_CUT, dtype=np.uint8)
+        self.cut = np.full(1 << self.depth, NO_CUT, dtype=np.uint16)
 
     def wanted(self, depth: int) -> list[int]:
         """The nodes to sum up: the root, or the child with fewer rows of each split."""
@@ -243,7 +243,7 @@ class Tree:
             pull = self._classes(label.rows, label.faults) if self.first else float(total)
             self.nodes[1] = Node(float(self._weight(label.rows, label.faults)), pull, label.rows, label.faults)
         for slot, number in enumerate(wanted):
-            sums = [s.reshape(len(s), len(wanted), BINS)[:, slot] for s in (pulls, *counts)]
+            sums = [s.reshape(len(s), len(wanted), self.width)[:, slot] for s in (pulls, *counts)]
             found[number] = sums
             if number > 1:
                 other = [whole - part for whole, part in zip(self.sums[number >> 1], sums)]
@@ -264,7 +264,7 @@ class Tree:
             apart = pull / left - rest / right
             gain = left * right / (node.weight * node.weight) * apart * apart
         gain[(count == 0) | (count == node.rows)] = -1.0
-        k, cut = divmod(int(np.argmax(gain)), BINS)
+        k, cut = divmod(int(np.argmax(gain)), self.width)
         if not gain[k, cut] > NOISE * node.value * node.value:
             return
         node.split = (self.columns.features[k], float(self.columns.thresholds[k][cut]), float(gain[k, cut]))
@@ -373,9 +373,11 @@ def grown(rows: DataFrame, names: list[str], labels: list[Label], truths: list[s
     plain = labels[0].estimator
     rounds, depth, step = plain.getMaxIter(), plain.getMaxDepth(), plain.getStepSize()
     columns, of_labels = _shared_columns(candidates)
+    # MLlib finds about 31 thresholds of a feature; weights can make it some more.
+    bins = 1 + max((len(edges) for _, edges in columns), default=0)
     blocks = -(-labels[0].rows // BLOCK_ROWS)
     width = max(1, min(blocks, spark.sparkContext.defaultParallelism), -(-blocks // BLOCKS_PER_PART))
-    pack = partial(_packed, columns=columns, names=names, labels=truths)
+    pack = partial(_packed, columns=columns, names=names, labels=truths, width=bins)
     numbered = rows.select(*names, *truths).mapInArrow(pack, "part int, number int, block binary")
     base = _one_by_one(numbered.rdd.repartition(width).mapPartitions(_in_order)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     # What tasks need of a label is its weights, not the classifier.
@@ -383,14 +385,14 @@ def grown(rows: DataFrame, names: list[str], labels: list[Label], truths: list[s
     state = _one_by_one(base.map(partial(_begun, labels=weights)))
     found, root_counts, kept, stored = [], None, None, None
     for number in range(rounds):
-        trees = [Tree(label, own, depth, number == 0) for label, own in zip(weights, of_labels)]
+        trees = [Tree(label, own, depth, number == 0, bins) for label, own in zip(weights, of_labels)]
         for level in range(depth):
             wanted = [tree.wanted(level) for tree in trees]
             if not any(wanted):
                 break
             known = level == 0 and root_counts is not None
             tasks = [
-                (tree.column, tree.cut, nodes, tree.columns.places, known) if nodes else None
+                (tree.column, tree.cut, nodes, tree.columns.places, bins, known) if nodes else None
                 for tree, nodes in zip(trees, wanted)
             ]
             *sums, squares = _summed(base.zip(state).mapPartitions(partial(_level, depth=level, tasks=tasks)))

@@ -1,5 +1,6 @@
 """The families' trees grown together: the trees of MLlib's classifier, in fewer jobs."""
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
@@ -94,3 +95,24 @@ def test_rows_without_any_difference(spark):
     assert all(tree.numNodes == 1 for tree in models["bearing"].trees)
     p = scored(models["bearing"], with_features(rows), "p").agg(F.min("p"), F.max("p")).first()
     assert p[0] == p[1] == pytest.approx(0.5)
+
+
+def test_sums_of_a_block_against_counting():
+    """All labels' places and more bins than the classifier asks for, which its weights can make."""
+    random = np.random.default_rng(5)
+    width, size = 35, 4_000
+    bins = random.integers(0, width, (3, size)).astype(np.uint8)
+    truth, pull = random.random(size) < 0.1, random.normal(size=size)
+    column, cut = np.zeros(8, dtype=np.intp), np.full(8, B.NO_CUT, dtype=np.uint16)
+    column[1], cut[1], column[3], cut[3] = 2, 33, 1, 10
+    node = np.where(bins[2] > 33, np.where(bins[1] > 10, 7, 6), 4)
+    assert (B.nodes_of(bins, column, cut, 2) == node).all()
+    total, sums, counts = B._counted(bins, truth, pull, 2, column, cut, [7, 6], [0, 2], width, False)
+    assert total == pytest.approx(pull.sum())
+    for k, place in enumerate([0, 2]):
+        for slot, wanted in enumerate([7, 6]):
+            for b in range(width):
+                here = (node == wanted) & (bins[place] == b)
+                at = slot * width + b
+                assert sums[k, at] == pytest.approx(pull[here].sum())
+                assert counts[0, k, at] == here.sum() and counts[1, k, at] == (here & truth).sum()
